@@ -127,3 +127,19 @@ def totals(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
+
+
+#: Keys that hold more than this share of the rows are dealt out; there can be no more of them than its inverse.
+HOT = 64
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, spread: Column) -> DataFrame:
+    """left join on one key, right unique in it; keys with over 1/HOT of left's rows (at most HOT of them) are dealt out by `spread`."""
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
+    total = left.count()
+    hot = [r[0] for r in counts.where(F.col("count") * HOT > total).orderBy(F.desc("count")).limit(HOT).collect()]
+    if not hot:
+        return left.join(right, key, "left")
+    salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(spread), F.lit(HOT)).cast("int")).otherwise(F.lit(0))
+    salts = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(HOT - 1))).otherwise(F.array(F.lit(0)))
+    return left.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(salts)), [key, "_salt"], "left").drop("_salt")
