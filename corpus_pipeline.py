@@ -3,8 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    from navlattice.llm.quality import keep, train
+
+    return keep(docs, train(docs, _table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of five-word sets at 0.8 or more; rows without an id stay."""
+    from navlattice.llm.common import written
+    from navlattice.llm.jaccard_join import jaccard_components
+
+    group = jaccard_components(docs, n=5, percent=80)
+    gone = written(group.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    kept = docs.join(gone, "doc_id", "left_anti")
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark does not contaminate; rows without an id are judged by their own text too."""
+    from navlattice.llm.decontamination import clean
+
+    return clean(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets covered, n_chars counted anew."""
+    from navlattice.llm.secrets import redact
+
+    return redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed sequences."""
+    from navlattice.llm.packing import pack
+
+    return pack(docs)
+
+
+STAGES: list = [("quality", quality), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("secrets", secrets), ("packing", packing)]
 ORACLE_SQL = None
 
 
