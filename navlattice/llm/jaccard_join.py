@@ -144,6 +144,10 @@ def _first_pass(n: int, percent: int):
             if not keys:
                 return
             k, s = np.concatenate(keys), np.concatenate(sets)
+            keys.clear()
+            sets.clear()
+            if not len(k):  # sets so small that only equal ones link
+                return
             order = np.lexsort((s, k))
             k, s = k[order], s[order]
             head = np.concatenate([[True], k[1:] != k[:-1]])
@@ -151,8 +155,6 @@ def _first_pass(n: int, percent: int):
             edge = np.unique(np.stack([s, least], 1)[s != least], axis=0)
             yield pa.RecordBatch.from_arrays([null(head.sum()), null(head.sum()), pa.array(s[head]), pa.array(k[head].view(np.int64)), null(head.sum())], names=_NAMES)
             yield pa.RecordBatch.from_arrays([null(len(edge)), null(len(edge)), pa.array(edge[:, 0]), null(len(edge)), pa.array(edge[:, 1])], names=_NAMES)
-            keys.clear()
-            sets.clear()
 
         for batch in slices(batches):
             gram, at = shingle_sets(batch.column("text"), n)
