@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes handled at once by a Python worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -65,6 +65,12 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             at = end
 
 
+def map_texts(df: DataFrame, function, schema) -> DataFrame:
+    """mapInArrow with batches that Spark bounds by bytes, not only by rows: rows can be long texts."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES * 2))
+    return df.mapInArrow(function, schema)
+
+
 def _local(uri: str) -> str | None:
     parts = urlparse(uri)
     return parts.path if parts.scheme in ("", "file") else None

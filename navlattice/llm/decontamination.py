@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import find, mapped, put, shared_dir, slices
+from .common import find, map_texts, mapped, put, shared_dir, slices
 
 WINDOW = 13
 #: Benchmark words in one automaton.
@@ -109,7 +109,7 @@ def _hits(word: np.ndarray, first: np.ndarray, paths: list[str], window: int) ->
 
 def _judge(paths: list[str], window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=(8 << 20) * (1 if len(paths) == 1 else 16)):
+        for batch in slices(batches, limit=(2 << 20) * (1 if len(paths) == 1 else 16)):
             data, offsets = tv.buffers(batch.column("text"))
             starts, ends, first = tv.spans(data, offsets, tv.ALNUM_SEP)
             hit, items = _hits(tv.hashes(data, starts, ends), first, paths, window)
@@ -132,7 +132,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """Per row: doc_id, n_words, n_hit, items (ids as strings, sorted), spans (UTF-8 byte offsets of hit passages), items_sha256, contaminated (hits are a twentieth of the words or more)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     paths = _write_blocks(benchmark, window)
-    out = docs.mapInArrow(_judge(paths, window), "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>, items_sha256 string")
+    out = map_texts(docs, _judge(paths, window), "doc_id long, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>, items_sha256 string")
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
 
 
@@ -147,4 +147,4 @@ def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
                 hit, words = got.column("n_hit").to_numpy(), got.column("n_words").to_numpy()
                 yield batch.filter(pa.array((hit == 0) | (hit * 20 < words)))
 
-    return documents.mapInArrow(run, documents.schema)
+    return map_texts(documents, run, documents.schema)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import shards, slices
+from .common import map_texts, shards, slices
 
 K = 64
 
@@ -117,7 +117,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     both = F.array_compact(F.array(own, F.when(to.isNotNull(), F.struct(to.cast("int").alias("bucket"), F.lit(True).alias("guest")))))
     dealt = docs.withColumn("to", F.explode(both)).select("to.bucket", "to.guest", "doc_id", "text")
     dealt = dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text")
-    return dealt.mapInArrow(_pairs, _OUT)
+    return map_texts(dealt, _pairs, _OUT)
 
 
 def _bucket(key: Column, cuts: list[int]) -> Column:

@@ -37,14 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import blob, mapped, put, shared_dir, slices, totals, written
+from .common import blob, map_texts, mapped, put, shared_dir, slices, totals, written
 from .graph import components
 
 U64 = np.uint64
 #: Members' n-grams (and 500 for each member) that one task joins in memory.
-WEIGHT, EACH = 1_500_000, 500
+WEIGHT, EACH = 750_000, 500
 #: Signature rows that a task collapses together.
-FLUSH = 1_500_000
+FLUSH = 500_000
 #: Members that a leaf compares without further pivots.
 LEAF = 192
 
@@ -335,7 +335,7 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
             break
         missing = rest.where(~F.col("region").isin(have)) if have else rest
         out.append(_chunks(missing, percent))
-        members = written(chosen.drop("weight").mapInArrow(_to_cells(folder, percent), _MEMBER), "cells")
+        members = written(map_texts(chosen.drop("weight"), _to_cells(folder, percent), _MEMBER), "cells")
     out.append(_chunks(rest, percent))
     return _union(out)
 
@@ -359,7 +359,7 @@ def _chunks(rest: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id that links reach), class_id (smallest doc_id with the same set), links (of the row's class to other sets in the spanning forest)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    first = written(docs.mapInArrow(_first_pass(n, percent), _FIRST), "signatures")
+    first = written(map_texts(docs, _first_pass(n, percent), _FIRST), "signatures")
     rows = first.where("n_shingles is not null").select("doc_id", "n_shingles", "node")
     from pyspark.sql import Window
 
@@ -368,7 +368,7 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     region = components(near)
     texts = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = region.join(texts, "node").select("doc_id", "node", F.col("component").alias("region"))
-    members = written(docs.join(wanted, "doc_id").mapInArrow(_with_sets(n), _MEMBER), "members")
+    members = written(map_texts(docs.join(wanted, "doc_id"), _with_sets(n), _MEMBER), "members")
     links = written(_links(members, percent), "links")
     return _result(rows, links)
 

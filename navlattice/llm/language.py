@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chars import points, tables
-from .common import find, held_out, slices, totals, written
+from .common import find, held_out, map_texts, slices, totals, written
 
 TOP, LANGUAGES, PARTS = 300, 10_000, 64
 
@@ -76,7 +76,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(documents: DataFrame, top: int = TOP) -> dict[str, np.ndarray]:
     """Profiles: for each language its n-grams, most frequent first."""
-    counts = documents.where("text is not null and lang is not null").select("text", "lang").mapInArrow(_count, "lang string, gram long, n long")
+    counts = map_texts(documents.where("text is not null and lang is not null").select("text", "lang"), _count, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = (F.desc("n"), F.asc("gram"))
     part = F.pmod(F.xxhash64("gram"), F.lit(PARTS))
@@ -123,7 +123,7 @@ def predict(documents: DataFrame, profiles: dict[str, np.ndarray], top: int = TO
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return map_texts(docs, run, "doc_id long, lang_pred string, score double")
 
 
 def language_id(documents: DataFrame, folds: int = 5) -> DataFrame:

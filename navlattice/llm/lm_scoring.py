@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import blob, find, held_out, mapped, put, shards, shared_dir, slices, totals, written
+from .common import blob, find, held_out, map_texts, mapped, put, shards, shared_dir, slices, totals, written
 
 U64 = np.uint64
 END, START = U64(0x1D8E4E27C47D124F), U64(0xEB44ACCAB455D165)
@@ -306,12 +306,12 @@ def train(documents: DataFrame) -> Model:
     spark = documents.sparkSession
     n, folder = shards(spark), shared_dir(spark, "lm")
     texts = documents.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    words = written(texts.mapInArrow(_count_words(n), _COUNTS).groupBy("shard").applyInArrow(_sum_words, _COUNTS), "lm-words")
+    words = written(map_texts(texts, _count_words(n), _COUNTS).groupBy("shard").applyInArrow(_sum_words, _COUNTS), "lm-words")
     tops = words.select("n", "c").collect()  # a row a shard
     tokens = sum(r.n for r in tops)
     large = [np.frombuffer(bytes(r.c), U64).reshape(2, -1) for r in tops]
     split = np.sort(np.concatenate([x[0][x[1].view(np.int64) * 4 * n > tokens] for x in large])) if large else np.zeros(0, U64)
-    pairs = written(texts.mapInArrow(_count_pairs(n, split), _COUNTS).groupBy("shard").applyInArrow(_sum_pairs(n, folder), _COUNTS), "lm-pairs")
+    pairs = written(map_texts(texts, _count_pairs(n, split), _COUNTS).groupBy("shard").applyInArrow(_sum_pairs(n, folder), _COUNTS), "lm-pairs")
     seen = sum((np.frombuffer(bytes(r.a), np.int64) for r in pairs.where("kind = 'seen'").select("a").collect()), np.zeros(4, np.int64))
     about = pairs.where("kind in ('after', 'into')").unionByName(words.withColumn("c", F.lit(b"")))
     rows = about.groupBy("shard").applyInArrow(_join_words(folder), _COUNTS).select("a").collect()

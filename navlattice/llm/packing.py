@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import map_texts, slices, written
 
 WINDOW, END = 2048, 1
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -152,4 +152,4 @@ def default_tokenizer() -> str:
 def pack(documents: DataFrame, tokenizer_path: str | None = None, end: int = END, window: int = WINDOW) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return written(docs.mapInArrow(_pack(tokenizer_path or default_tokenizer(), end, window), SCHEMA), "packed")
+    return written(map_texts(docs, _pack(tokenizer_path or default_tokenizer(), end, window), SCHEMA), "packed")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .chars import points, tables
-from .common import held_out, slices
+from .common import held_out, map_texts, slices
 
 #: Shares of the pooled covariance and of the scaled identity.
 POOLED, IDENTITY, THRESHOLD = 0.3, 0.02, 0.3
@@ -82,7 +82,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def statistics(documents: DataFrame) -> DataFrame:
     """Per row: doc_id and x, the transformed statistics in the order of FEATURES."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_measure, "doc_id long, x array<double>")
+    return map_texts(docs, _measure, "doc_id long, x array<double>")
 
 
 class Discriminant:
@@ -148,7 +148,7 @@ def score(documents: DataFrame, model: Discriminant, threshold: float = THRESHOL
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, score double, predicted int")
+    return map_texts(docs, run, "doc_id long, score double, predicted int")
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
@@ -165,4 +165,4 @@ def keep(documents: DataFrame, model: Discriminant, threshold: float = THRESHOLD
             x = np.array([row for b in _measure(iter([batch])) for row in b.column("x").to_pylist()])
             yield batch.filter(pa.array(model.score(x) >= threshold))
 
-    return documents.mapInArrow(run, documents.schema)
+    return map_texts(documents, run, documents.schema)

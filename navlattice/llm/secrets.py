@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import map_texts, slices
 
 KINDS = ("assign", "access", "hex")
 # The patterns of the contract.
@@ -182,7 +182,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find_secrets(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, base (the contract's spans) and spans (those and the ones inside encodings), as kind:start:end."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_scan, "doc_id long, base string, spans string")
+    return map_texts(docs, _scan, "doc_id long, base string, spans string")
 
 
 def cover(text: str, mark: str = "[SECRET]") -> str:
@@ -209,4 +209,4 @@ def redact(documents: DataFrame, column: str = "text") -> DataFrame:
             i = batch.schema.get_field_index(column)
             yield pa.RecordBatch.from_arrays([pa.array(clean, batch.schema.field(i).type) if j == i else c for j, c in enumerate(batch.columns)], names=batch.schema.names)
 
-    return documents.mapInArrow(run, documents.schema)
+    return map_texts(documents, run, documents.schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, put, salted_join, shared_dir, slices, written
+from .common import map_texts, mapped, put, salted_join, shared_dir, slices, written
 
 ARCHIVE_BYTES = 64 << 20
 LEAST = 100
@@ -126,7 +126,7 @@ def resolve(pages: DataFrame, least: int = LEAST) -> DataFrame:
 
 def write_archives(resolved: DataFrame) -> DataFrame:
     """Writes the archives and returns their paths, a written table."""
-    return written(resolved.mapInArrow(_write(shared_dir(resolved.sparkSession, "warc")), "path string"), "archives")
+    return written(map_texts(resolved, _write(shared_dir(resolved.sparkSession, "warc")), "path string"), "archives")
 
 
 def read_archives(paths: DataFrame) -> DataFrame:
