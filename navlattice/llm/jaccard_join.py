@@ -135,7 +135,9 @@ def signatures(gram: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarr
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def _first_pass(n: int, percent: int):
+def _first_pass(n: int, percent: int, signed: bool):
+    """The rows with their sets' digests, or (signed) the signature keys of the sets and the links met in one task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sets, held = [], [], 0
         null = lambda k: pa.nulls(k, pa.int64())
@@ -159,7 +161,9 @@ def _first_pass(n: int, percent: int):
         for batch in slices(batches):
             gram, at = shingle_sets(batch.column("text"), n)
             size, digest = np.diff(at), digests(gram, at)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(digest, mask=size == 0), null(len(size)), null(len(size))], names=_NAMES)
+            if not signed:
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(digest, mask=size == 0), null(len(size)), null(len(size))], names=_NAMES)
+                continue
             if not len(gram):
                 continue
             _, one = np.unique(digest, return_index=True)
@@ -359,12 +363,15 @@ def _chunks(rest: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id that links reach), class_id (smallest doc_id with the same set), links (of the row's class to other sets in the spanning forest)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    first = written(map_texts(docs, _first_pass(n, percent), _FIRST), "signatures")
-    rows = first.where("n_shingles is not null").select("doc_id", "n_shingles", "node")
+    # texts are read once for the rows and once for the signatures, which are many times larger and go straight into their shuffle
+    rows = written(map_texts(docs, _first_pass(n, percent, False), _FIRST).select("doc_id", "n_shingles", "node"), "sets")
+    first = map_texts(docs, _first_pass(n, percent, True), _FIRST).select("node", "key", "other")
     from pyspark.sql import Window
 
-    keyed = first.where("key is not null").select("key", "node").withColumn("least", F.min("node").over(Window.partitionBy("key")))
-    near = keyed.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).unionByName(first.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))).distinct()
+    # keys stand for themselves, links for keys that no other set has: one pass over both
+    own = F.coalesce("key", F.xxhash64("node", "other"))
+    keyed = first.withColumn("key", own).withColumn("least", F.least(F.min("node").over(Window.partitionBy("key")), F.coalesce("other", "node")))
+    near = keyed.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     region = components(near)
     texts = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = region.join(texts, "node").select("doc_id", "node", F.col("component").alias("region"))
