@@ -33,8 +33,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: lineage ends there and lost executors cost nothing."""
+    """df as a Parquet table in the shared folder: lineage ends there, lost executors cost nothing, and the shuffles behind it go."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,11 +2,12 @@
 
 The Jaccard distance is a metric, but most pairs of documents are at distance
 1, where no pivot tells them apart.  So the space is first taken apart
-exactly: sets that can be within the radius agree on at least one part of a
-hash partition of the n-grams (the pigeonhole principle over their largest
-symmetric difference, for each interval of set sizes), and everything that
-agrees on a part, directly or through others, is one region.  No link leaves
-a region.
+exactly.  N-grams are ordered from rare to common by the numbers of documents
+they are in, which are counted over everything, shuffled in blocks and kept as
+sorted hash arrays that workers map.  Sets within the radius share one of the
+n-grams that come first in each (as many as may be missing, and one more), and
+everything that shares such an n-gram, directly or through others, is one
+region.  No link leaves a region.
 
 Regions are joined recursively.  A region too heavy for one task gets pivots;
 every member goes to the Voronoi cell of its nearest pivot and, by the
@@ -29,7 +30,6 @@ doc_id comes back with a null component; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import blob, map_texts, mapped, put, shared_dir, slices, totals, written
+from .common import blob, find, map_texts, mapped, put, shards, shared_dir, slices, totals, written
 from .graph import components
 
 U64 = np.uint64
+_LOW = U64((1 << 40) - 1)
 #: Members' n-grams (and 500 for each member) that one task joins in memory.
 WEIGHT, EACH = 750_000, 500
-#: Signature rows that a task collapses together.
-FLUSH = 500_000
+#: N-grams that a task sorts together.
+FLUSH = 2_000_000
 #: Members that a leaf compares without further pivots.
 LEAF = 192
 
@@ -88,113 +89,243 @@ def digests(gram: np.ndarray, at: np.ndarray) -> np.ndarray:
     return tv.mix(_sums(tv.mix(gram * U64(0xD1342543DE82EF95) + U64(1)), at) + np.diff(at).astype(U64) * U64(0x2545F4914F6CDD1D)).view(np.int64)
 
 
-@lru_cache(8)
-def intervals(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
-    """First sizes of the intervals that only neighbours can link across, and for each the number of parts: its largest difference and two more."""
-    low, parts = [], []
-    size = next(x for x in range(1, 10_000_000) if 100 * x >= percent * (x + 1)) if percent < 100 else 1
-    while not low or low[-1] <= largest:
-        low.append(size)
-        high = 100 * size // percent
-        parts.append((100 - percent) * 2 * high // (100 + percent) + 2)
-        size = high + 1
-    high = 100 * size // percent
-    return np.array([*low, size]), np.array([*parts, (100 - percent) * 2 * high // (100 + percent) + 2])
+def _place(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shard of each hash, by its upper three bytes, and its key there: the lower five."""
+    return (((hashes >> U64(40)) * U64(parts)) >> U64(24)).astype(np.int64), hashes & _LOW
 
 
-def signatures(gram: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the parts of every set, and the set of each key: sets within the radius share a key."""
+def _five(keys: np.ndarray) -> bytes:
+    """Keys of five bytes, end to end."""
+    return blob(np.ascontiguousarray(keys)[:, None].view(np.uint8)[:, :5])
+
+
+def _wide(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view(U64).ravel()
+
+
+def _count_grams(n: int, parts: int):
+    """Blocks of n-gram keys for every shard, with the number of a task's sets that hold each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, held = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            gram, count = np.unique(np.concatenate(grams), return_counts=True)
+            shard, key = _place(gram, parts)
+            cut = np.searchsorted(shard, np.arange(parts + 1))
+            at = np.flatnonzero(np.diff(cut))
+            pick = [slice(cut[p], cut[p + 1]) for p in at]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([blob(count[x].astype(np.uint32)) for x in pick], pa.binary()), pa.array([_five(key[x]) for x in pick], pa.binary())], names=["shard", "counts", "keys"])
+
+        for batch in slices(batches):
+            gram, _ = shingle_sets(batch.column("text"), n)
+            grams.append(gram)
+            held += len(gram)
+            if held > FLUSH:
+                yield from flush()
+                grams.clear()
+                held = 0
+        if held:
+            yield from flush()
+
+    return run
+
+
+def _write_counts(folder: str):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """Writes one shard's n-grams of two sets or more, in order, and the binary logarithms of the numbers of sets."""
+        keys = np.concatenate([_wide(x) for x in table.column("keys").to_pylist()])
+        count = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()]).astype(np.int64)
+        keys, count = totals(keys, count)
+        keys, count = keys[count > 1], count[count > 1]
+        put(f"{folder}/{key[0].as_py()}", [keys, np.log2(count).astype(np.uint8)])
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32())})
+
+    return run
+
+
+class Shards:
+    """Files of sorted arrays, by shard, mapped when first met: `width` bytes an entry, of which the first eight are its key."""
+
+    def __init__(self, folder: str, parts: int, width: int):
+        self.folder, self.parts, self.width, self.files = folder, parts, width, {}
+
+    def __getstate__(self):
+        return {**self.__dict__, "files": {}}
+
+    def open(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        if shard not in self.files:
+            raw = mapped(f"{self.folder}/{shard}")
+            m = len(raw) // self.width
+            self.files[shard] = (raw[: 8 * m].view(U64), raw[8 * m :])
+        return self.files[shard]
+
+
+def rarity(gram: np.ndarray, counts: Shards) -> np.ndarray:
+    """The binary logarithm of the number of sets that hold each n-gram, 0 for those of one set."""
+    known, at = np.unique(gram, return_inverse=True)
+    shard, key = _place(known, counts.parts)
+    out = np.zeros(len(known), np.uint8)
+    cut = np.searchsorted(shard, np.arange(counts.parts + 1))
+    for p in np.flatnonzero(np.diff(cut)):
+        keys, logs = counts.open(int(p))
+        if len(keys):
+            i = find(keys, key[cut[p] : cut[p + 1]])
+            out[cut[p] : cut[p + 1]] = np.where(i >= 0, logs[np.maximum(i, 0)], 0)
+    return out[at]
+
+
+def first_grams(gram: np.ndarray, at: np.ndarray, percent: int, counts: Shards) -> tuple[np.ndarray, np.ndarray]:
+    """Of every set the n-grams that come first from rare to common and are in other sets too, and the set of each: sets within the radius share one."""
     size = np.diff(at)
-    low, parts = intervals(percent, 1 << int(max(size.max(initial=1), 1)).bit_length())
-    j = np.searchsorted(low, size, "right") - 1
-    keys, owners = [], []
-    for step in (0, 1):
-        use = np.flatnonzero(j >= 0)
-        tag = j[use] + step
-        n = parts[tag]
-        base = np.zeros(len(size), np.int64)
-        start = np.concatenate([[0], np.cumsum(n)])
-        base[use] = start[:-1]
-        width = np.ones(len(size), U64)
-        width[use] = n
-        salt = np.zeros(len(size), U64)
-        salt[use] = tv.mix(tag.astype(U64) + U64(77))
-        own = np.repeat(np.arange(len(size)), size)
-        mine = j[own] >= 0
-        own, g = own[mine], gram[mine]
-        cell = base[own] + (tv.mix(g ^ salt[own]) % width[own]).astype(np.int64)
-        total = np.zeros(start[-1], U64)
-        np.add.at(total, cell, tv.mix(g + U64(0x632BE59BD9B4E019)))
-        full = np.bincount(cell, minlength=start[-1]) > 0
-        of = np.repeat(np.arange(len(use)), n)
-        empty = np.bincount(of[~full], minlength=len(use))
-        emit = full | (empty[of] >= 2)
-        part = np.arange(start[-1]) - start[:-1][of]
-        keys.append(tv.mix(total + tv.mix(tag[of].astype(U64) * U64(1 << 32) + part.astype(U64) + U64(5)))[emit])
-        owners.append(use[of[emit]])
-    return np.concatenate(keys), np.concatenate(owners)
-
-
-def _first_pass(n: int, percent: int, signed: bool):
-    """The rows with their sets' digests, or (signed) the signature keys of the sets and the links met in one task."""
+    log, own = rarity(gram, counts), np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((gram, log, own))
+    rank = np.arange(len(gram)) - np.repeat(at[:-1], size)
+    first = rank <= np.repeat(size + (-percent * size) // 100, size)
+    chosen = order[first & (log[order] > 0)]
+    return tv.mix(gram[chosen] + U64(0x632BE59BD9B4E019)), own[chosen]
+
+
+def _sized(n: int):
+    """The rows with the sizes and digests of their sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            gram, at = shingle_sets(batch.column("text"), n)
+            size = np.diff(at)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(digests(gram, at), mask=size == 0)], names=["doc_id", "n_shingles", "node"])
+
+    return run
+
+
+def _stars(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
+    """For each of `count` nodes the smallest node that the links (a, b) reach."""
+    top = np.arange(count)
+    while True:
+        low = np.minimum(top[a], top[b])
+        new = top.copy()
+        for end in (a, b):
+            np.minimum.at(new, end, low)
+            np.minimum.at(new, top[end], low)
+        new = new[new]
+        if np.array_equal(new, top):
+            return top
+        top = new
+
+
+def _by_key(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the smallest node of each, and for all nodes the smallest that shared keys reach; nodes are numbers from 0."""
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    head = np.concatenate([[True], key[1:] != key[:-1]])
+    least = node[np.flatnonzero(head)][np.cumsum(head) - 1]
+    count = int(node.max()) + 1
+    edge = np.unique((node * count + least)[node != least])
+    return key[head], node[head], _stars(edge // count, edge % count, count)
+
+
+def _signed(n: int, percent: int, parts: int, counts: Shards):
+    """Blocks of the first n-grams' keys for every shard: the nodes, how many keys of each, and the keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sets, held = [], [], 0
-        null = lambda k: pa.nulls(k, pa.int64())
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if not keys:
-                return
-            k, s = np.concatenate(keys), np.concatenate(sets)
-            keys.clear()
-            sets.clear()
-            if not len(k):  # sets so small that only equal ones link
+            k, (s, own) = np.concatenate(keys), np.unique(np.concatenate(sets), return_inverse=True)
+            if not len(k):  # nothing that another set has
                 return
-            order = np.lexsort((s, k))
-            k, s = k[order], s[order]
-            head = np.concatenate([[True], k[1:] != k[:-1]])
-            least = s[np.flatnonzero(head)][np.cumsum(head) - 1]
-            edge = np.unique(np.stack([s, least], 1)[s != least], axis=0)
-            yield pa.RecordBatch.from_arrays([null(head.sum()), null(head.sum()), pa.array(s[head]), pa.array(k[head].view(np.int64)), null(head.sum())], names=_NAMES)
-            yield pa.RecordBatch.from_arrays([null(len(edge)), null(len(edge)), pa.array(edge[:, 0]), null(len(edge)), pa.array(edge[:, 1])], names=_NAMES)
+            key, node, top = _by_key(k, own)
+            # links met here become one more key for all nodes that they join
+            met = np.flatnonzero(np.bincount(top, minlength=len(top))[top] > 1)
+            key, node = np.concatenate([key, tv.mix(s.view(U64)[top[met]] ^ U64(0x3C6EF372FE94F82B))]), np.concatenate([node, met])
+            shard, key = _place(key, parts)
+            order = np.lexsort((node, shard))
+            key, node, cut = key[order], node[order], np.searchsorted(shard[order], np.arange(parts + 1))
+            rows = []
+            for p in np.flatnonzero(np.diff(cut)):
+                who, count = np.unique(node[cut[p] : cut[p + 1]], return_counts=True)
+                rows.append((int(p), blob(s[who]), blob(count.astype(np.uint32)), _five(key[cut[p] : cut[p + 1]])))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["shard", "nodes", "counts", "keys"])
 
         for batch in slices(batches):
             gram, at = shingle_sets(batch.column("text"), n)
             size, digest = np.diff(at), digests(gram, at)
-            if not signed:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(digest, mask=size == 0), null(len(size)), null(len(size))], names=_NAMES)
-                continue
             if not len(gram):
                 continue
             _, one = np.unique(digest, return_index=True)
             if len(one) < len(digest):
                 pick = np.concatenate([np.arange(at[i], at[i + 1]) for i in one])
                 gram, at, digest = gram[pick], np.concatenate([[0], np.cumsum(size[one])]), digest[one]
-            k, own = signatures(gram, at, percent)
+            k, own = first_grams(gram, at, percent, counts)
             keys.append(k)
             sets.append(digest[own])
             held += len(k)
             if held > FLUSH:
                 yield from flush()
+                keys.clear()
+                sets.clear()
                 held = 0
-        yield from flush()
+        if keys:
+            yield from flush()
 
     return run
 
 
-_NAMES = ["doc_id", "n_shingles", "node", "key", "other"]
-_FIRST = "doc_id long, n_shingles long, node long, key long, other long"
+def _shared_keys(key: tuple, table: pa.Table) -> pa.Table:
+    """One shard's nodes that share keys, each linked to the smallest that it reaches."""
+    nodes, keys = [], []
+    for a, c, k in zip(*(table.column(x).to_pylist() for x in ("nodes", "counts", "keys")), strict=True):
+        nodes.append(np.repeat(np.frombuffer(a, np.int64), np.frombuffer(c, np.uint32)))
+        keys.append(_wide(k))
+    s, own = np.unique(np.concatenate(nodes), return_inverse=True)
+    _, _, top = _by_key(np.concatenate(keys), own)
+    far = np.flatnonzero(top != np.arange(len(top)))
+    return pa.table({"a": pa.array(s[far]), "b": pa.array(s[top[far]])})
+
+
+#: N-grams of one shard.
+KEYS = 3_000_000
+_ROW = "doc_id long, n_shingles long, node long"
+_BLOCK = "shard int, nodes binary, counts binary, keys binary"
+_COUNTS = "shard int, counts binary, keys binary"
 _MEMBER = "region long, node long, grams binary"
 _LINK = "a long, b long"
 
 
-def _with_sets(n: int):
+def _write_wanted(folder: str):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """Writes one shard's nodes, in order, with the row that stands for each and its region."""
+        node, doc, region = (table.column(x).to_numpy() for x in ("node", "doc_id", "region"))
+        order = np.argsort(node.view(U64))
+        put(f"{folder}/{key[0].as_py()}", [node[order], doc[order], region[order]])
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32())})
+
+    return run
+
+
+def _with_sets(n: int, wanted: Shards, present: set[int]):
+    """The sets of the rows that stand for wanted nodes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             gram, at = shingle_sets(batch.column("text"), n)
             digest = digests(gram, at)
-            keep = [i for i, node in enumerate(batch.column("node").to_pylist()) if node == digest[i]]
-            yield pa.RecordBatch.from_arrays([batch.column("region").take(pa.array(keep, pa.int64())), pa.array(digest[keep]), pa.array([blob(gram[at[i] : at[i + 1]]) for i in keep], pa.binary())], names=["region", "node", "grams"])
+            doc = batch.column("doc_id").to_pylist()
+            regions, keep = [], []
+            shard = digest % wanted.parts
+            for p in np.unique(shard).tolist():
+                if p not in present:
+                    continue
+                keys, rest = wanted.open(p)
+                rest = rest.view(np.int64).reshape(2, -1)
+                mine = np.flatnonzero((shard == p) & (np.diff(at) > 0))
+                for i, k in zip(mine.tolist(), find(keys, digest[mine].view(U64)).tolist(), strict=True):
+                    if k >= 0 and rest[0, k] == doc[i]:
+                        keep.append(i)
+                        regions.append(int(rest[1, k]))
+            yield pa.RecordBatch.from_arrays([pa.array(regions, pa.int64()), pa.array(digest[keep]), pa.array([blob(gram[at[i] : at[i + 1]]) for i in keep], pa.binary())], names=["region", "node", "grams"])
 
     return run
 
@@ -363,19 +494,20 @@ def _chunks(rest: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id that links reach), class_id (smallest doc_id with the same set), links (of the row's class to other sets in the spanning forest)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # texts are read once for the rows and once for the signatures, which are many times larger and go straight into their shuffle
-    rows = written(map_texts(docs, _first_pass(n, percent, False), _FIRST).select("doc_id", "n_shingles", "node"), "sets")
-    first = map_texts(docs, _first_pass(n, percent, True), _FIRST).select("node", "key", "other")
-    from pyspark.sql import Window
-
-    # keys stand for themselves, links for keys that no other set has: one pass over both
-    own = F.coalesce("key", F.xxhash64("node", "other"))
-    keyed = first.withColumn("key", own).withColumn("least", F.least(F.min("node").over(Window.partitionBy("key")), F.coalesce("other", "node")))
-    near = keyed.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    # texts are read once for the rows and once for the signatures, which go straight into their shuffle
+    rows = written(map_texts(docs, _sized(n), _ROW), "sets")
+    total = rows.agg(F.sum("n_shingles")).first()[0] or 0
+    spark = docs.sparkSession
+    parts = max(shards(spark), total // KEYS + 1)
+    folder = shared_dir(spark, "gram-counts")
+    map_texts(docs, _count_grams(n, parts), _COUNTS).groupBy("shard").applyInArrow(_write_counts(folder), "shard int").write.parquet(shared_dir(spark, "gram-counts-done"))
+    near = map_texts(docs, _signed(n, percent, parts, Shards(folder, parts, 9)), _BLOCK).groupBy("shard").applyInArrow(_shared_keys, _LINK)
     region = components(near)
     texts = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = region.join(texts, "node").select("doc_id", "node", F.col("component").alias("region"))
-    members = written(map_texts(docs.join(wanted, "doc_id"), _with_sets(n), _MEMBER), "members")
+    wanted = region.join(texts, "node").select("doc_id", "node", F.col("component").alias("region"), F.pmod("node", F.lit(parts)).cast("int").alias("shard"))
+    folder = shared_dir(spark, "wanted")
+    wanted.groupBy("shard").applyInArrow(_write_wanted(folder), "shard int").write.parquet(shared_dir(spark, "wanted-done"))
+    members = written(map_texts(docs, _with_sets(n, Shards(folder, parts, 24), set(_done(spark, folder))), _MEMBER), "members")
     links = written(_links(members, percent), "links")
     return _result(rows, links)
 
