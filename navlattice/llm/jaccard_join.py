@@ -12,8 +12,11 @@ region.  No link leaves a region.
 Regions are joined recursively.  A region too heavy for one task gets pivots;
 every member goes to the Voronoi cell of its nearest pivot and, by the
 triangle inequality, to each cell whose pivot is at most two radii farther
-(its boundary windows).  Cells that no longer shrink are dealt out by pairs of
-chunks, which is exact whatever the distances are.  Inside a task the same
+(its boundary windows).  Members within the radius of a pivot are linked to it
+and labelled: members of one label are connected and are not compared again,
+so a region or cell of one label is done.  Cells that no longer shrink are
+dealt out by pairs of chunks, of different labels or of none, which is exact
+whatever the distances are.  Inside a task the same
 recursion runs on arrays; a leaf orders its members by the distance to a pivot
 and compares only those within one radius of each other on it that are not
 yet connected.  Only a spanning forest of the links is passed on.
@@ -46,6 +49,8 @@ _LOW = U64((1 << 40) - 1)
 WEIGHT, EACH = 750_000, 500
 #: N-grams that a task sorts together.
 FLUSH = 2_000_000
+#: Pivots of a region, on average.
+PIVOTS = 12
 #: Members that a leaf compares without further pivots.
 LEAF = 192
 
@@ -290,7 +295,8 @@ KEYS = 3_000_000
 _ROW = "doc_id long, n_shingles long, node long"
 _BLOCK = "shard int, nodes binary, counts binary, keys binary"
 _COUNTS = "shard int, counts binary, keys binary"
-_MEMBER = "region long, node long, grams binary"
+_MEMBER = "region long, node long, grams binary, label long"
+_LABELLED = _MEMBER + ", cells array<long>, a array<long>"
 _LINK = "a long, b long"
 
 
@@ -325,7 +331,7 @@ def _with_sets(n: int, wanted: Shards, present: set[int]):
                     if k >= 0 and rest[0, k] == doc[i]:
                         keep.append(i)
                         regions.append(int(rest[1, k]))
-            yield pa.RecordBatch.from_arrays([pa.array(regions, pa.int64()), pa.array(digest[keep]), pa.array([blob(gram[at[i] : at[i + 1]]) for i in keep], pa.binary())], names=["region", "node", "grams"])
+            yield pa.RecordBatch.from_arrays([pa.array(regions, pa.int64()), pa.array(digest[keep]), pa.array([blob(gram[at[i] : at[i + 1]]) for i in keep], pa.binary()), pa.nulls(len(keep), pa.int64())], names=["region", "node", "grams", "label"])
 
     return run
 
@@ -348,6 +354,12 @@ class Region:
             x = self.parent[x]
         return x
 
+    def connected(self, labels: np.ndarray) -> None:
+        """Members of one label (-1: none) are connected already."""
+        known = np.flatnonzero(labels >= 0)
+        _, first, group = np.unique(labels[known], return_index=True, return_inverse=True)
+        self.parent[known] = known[first][group]
+
     def join(self, x: int, y: int) -> None:
         a, b = self.top(x), self.top(y)
         if a != b:
@@ -406,6 +418,8 @@ def _join_region(percent: int):
         node = node[one]
         blobs = table.column("grams")
         region = Region([np.frombuffer(blobs[int(i)].as_py(), U64) for i in one], percent)
+        _, label = np.unique(table.column("label").take(pa.array(one)).fill_null(0).to_numpy(), return_inverse=True)
+        region.connected(np.where(table.column("label").take(pa.array(one)).is_null().to_numpy(), -1, label))
         region.solve(np.arange(len(node)))
         pairs = np.array(region.links, dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(node[pairs[:, 0]]), "b": pa.array(node[pairs[:, 1]])})
@@ -415,42 +429,74 @@ def _join_region(percent: int):
 
 def _write_pivots(folder: str):
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        """Writes one region's pivots: their number, lengths, nodes, labels (with 1 where there is one) and sets."""
         sets = [np.frombuffer(x, U64) for x in table.column("grams").to_pylist()]
-        put(f"{folder}/{key[0].as_py()}", [np.array([len(sets), *map(len, sets)], np.int64), *sets])
+        label = table.column("label")
+        put(f"{folder}/{key[0].as_py()}", [np.array([len(sets), *map(len, sets)], np.int64), table.column("node").to_numpy(), label.fill_null(0).to_numpy(), label.is_valid().to_numpy().astype(np.int64), *sets])
         return pa.table({"region": pa.array([key[0].as_py()])})
 
     return run
 
 
+class Pivots:
+    """A region's pivots; those that link with each other, or had one label, share a label."""
+
+    def __init__(self, raw: np.ndarray, percent: int):
+        n = int(raw[0])
+        self.size, self.node, label, known = raw[1:].view(np.int64)[: 4 * n].reshape(4, n)
+        at = 1 + 4 * n + np.concatenate([[0], np.cumsum(self.size)])
+        self.percent, self.sets = percent, [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        top = np.arange(n)
+        for i in range(n):
+            for j in np.flatnonzero(self.within(self.sets[i])[0] | ((known[i] == 1) & (known == 1) & (label == label[i]))):
+                top[top == top[j]] = top[i]
+        # a label that a pivot brings stands for its group, or else a pivot's node
+        self.top = top
+        self.label = np.array([next((label[j] for j in np.flatnonzero((top == t) & (known == 1))), self.node[t]) for t in top])
+
+    def within(self, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pivots link with a set, and the distances to all."""
+        both = np.array([np.isin(mine, p, assume_unique=True).sum() for p in self.sets])
+        union = self.size + len(mine) - both
+        return 100 * both >= self.percent * union, 1 - both / union
+
+
 def _to_cells(folder: str, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files: dict[int, list[np.ndarray]] = {}
+        """The members with their labels, the Voronoi cells and windows that they belong to, and the pivots that they link with (one of each group)."""
+        pivots: dict[int, Pivots] = {}
         for batch in slices(batches, "grams"):
-            regions, nodes, sets = [], [], []
-            for region, node, grams in zip(*(batch.column(x).to_pylist() for x in ("region", "node", "grams")), strict=True):
-                if region not in files:
-                    raw = mapped(f"{folder}/{region}").view(U64)
-                    end = 1 + int(raw[0]) + np.concatenate([[0], np.cumsum(raw[1 : 1 + int(raw[0])].astype(np.int64))])
-                    files[region] = [raw[a:b] for a, b in zip(end[:-1], end[1:], strict=True)]
-                mine = np.frombuffer(grams, U64)
-                both = np.array([np.isin(mine, p, assume_unique=True).sum() for p in files[region]])
-                d = 1 - both / (np.array([len(p) for p in files[region]]) + len(mine) - both)
-                for i in np.flatnonzero(d <= d.min() + 2 * (1 - percent / 100) + 1e-9):
-                    regions.append(int(tv.mix(np.array([region], np.int64).view(U64) + U64(int(i) + 1)).view(np.int64)[0]))
-                    nodes.append(node)
-                    sets.append(grams)
-            yield pa.RecordBatch.from_arrays([pa.array(regions, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["region", "node", "grams"])
+            labels, cells, links = [], [], []
+            for region, node, grams, label in zip(*(batch.column(x).to_pylist() for x in ("region", "node", "grams", "label")), strict=True):
+                if region not in pivots:
+                    pivots[region] = Pivots(mapped(f"{folder}/{region}").view(U64), percent)
+                p = pivots[region]
+                linked, d = p.within(np.frombuffer(grams, U64))
+                linked = np.flatnonzero(linked)
+                # a pivot links with the others of its group, so that their links are out as well
+                groups = linked if node in p.node else linked[np.unique(p.top[linked], return_index=True)[1]]
+                near = np.flatnonzero(d <= d.min() + 2 * (1 - percent / 100) + 1e-9)
+                cells.append(tv.mix(np.array([region], np.int64).view(U64) + near.astype(U64) + U64(1)).view(np.int64).tolist())
+                links.append(p.node[groups].tolist())
+                labels.append(int(p.label[linked[0]]) if len(linked) else label)
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("region", "node", "grams")), pa.array(labels, pa.int64()), pa.array(cells, pa.list_(pa.int64())), pa.array(links, pa.list_(pa.int64()))], names=["region", "node", "grams", "label", "cells", "a"])
 
     return run
 
 
+def _unfinished(members: DataFrame) -> DataFrame:
+    """The members of regions that have more than one label, or members without one."""
+    seen = members.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count("label") == F.count("*")).alias("all"))
+    return members.join(seen.where(~F.col("all") | (F.col("low") < F.col("high"))).select("region"), "region")
+
+
 def _links(members: DataFrame, percent: int) -> DataFrame:
-    """Links of all regions; members is (region, node, grams), a written table."""
+    """Links of all regions; members is (region, node, grams, label), a written table."""
     spark = members.sparkSession
-    weight = F.sum(F.octet_length("grams") / 8 + EACH)
+    mine = F.octet_length("grams") / 8 + EACH
     out, before = [], None
     for level in range(8):
-        sized = members.groupBy("region").agg(weight.alias("weight"))
+        sized = members.groupBy("region").agg(F.sum(mine).alias("weight"))
         heavy = written(sized.where(F.col("weight") > WEIGHT), "heavy")
         light = members.join(heavy, "region", "left_anti")
         out.append(light.groupBy("region").applyInArrow(_join_region(percent), _LINK))
@@ -463,14 +509,16 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
         before = total
         folder = shared_dir(spark, "pivots")
         luck = (F.xxhash64(F.col("node"), F.lit(level)).cast("double") / 2.0**64) + 0.5
-        rest.where(luck * F.col("weight") * 2 <= F.lit(16.0 * (WEIGHT / 100))).drop("weight").groupBy("region").applyInArrow(_write_pivots(folder), "region long").write.parquet(shared_dir(spark, "pivots-done"))
+        rest.where(luck * F.col("weight") <= mine * PIVOTS).drop("weight").groupBy("region").applyInArrow(_write_pivots(folder), "region long").write.parquet(shared_dir(spark, "pivots-done"))
         have = _done(spark, folder)
-        chosen = rest.where(F.col("region").isin(have)) if have else None
-        if chosen is None:
+        if not have:
             break
-        missing = rest.where(~F.col("region").isin(have)) if have else rest
-        out.append(_chunks(missing, percent))
-        members = written(map_texts(chosen.drop("weight"), _to_cells(folder, percent), _MEMBER), "cells")
+        out.append(_chunks(rest.where(~F.col("region").isin(have)), percent))
+        chosen = rest.where(F.col("region").isin(have)).drop("weight")
+        labelled = written(map_texts(chosen, _to_cells(folder, percent), _LABELLED), "labelled")
+        out.append(labelled.select(F.explode("a").alias("a"), F.col("node").alias("b")).where("a <> b"))
+        cells = written(_unfinished(labelled).select(F.explode("cells").alias("region"), "node", "grams", "label"), "cells")
+        members = written(_unfinished(cells).select("region", "node", "grams", "label"), "members")
     out.append(_chunks(rest, percent))
     return _union(out)
 
@@ -483,18 +531,22 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _chunks(rest: DataFrame, percent: int) -> DataFrame:
-    """Joins heavy regions exactly by all pairs of chunks, each pair small enough for a task."""
-    n = F.ceil(F.col("weight") * 2 / WEIGHT).cast("int")
-    mine = F.pmod(F.xxhash64("node"), n).cast("int")
-    dealt = rest.withColumn("mine", mine).withColumn("with", F.explode(F.sequence(F.lit(0), n - 1)))
+    """Joins heavy regions exactly by all pairs of chunks, each pair small enough for a task; a chunk has members of one label, and chunks of one label do not meet."""
+    parts = rest.groupBy("region", "label").agg(F.ceil(F.sum(F.octet_length("grams") / 8 + EACH) * 2 / WEIGHT).cast("int").alias("n"))
+    lists = parts.groupBy("region").agg(F.collect_list(F.struct("label", "n")).alias("parts"))
+    every = F.flatten(F.transform("parts", lambda p: F.transform(F.sequence(F.lit(1), p["n"]), lambda i: F.struct(p["label"].alias("label"), i.alias("i")))))
+    own = F.filter("parts", lambda p: p["label"].eqNullSafe(F.col("label")))[0]["n"]
+    dealt = rest.join(lists, "region").withColumn("mine", F.xxhash64("label", F.pmod(F.xxhash64("node"), own).cast("int") + 1))
+    others = F.filter(every, lambda c: F.col("label").isNull() | ~c["label"].eqNullSafe(F.col("label")))
+    dealt = dealt.withColumn("with", F.explode(F.transform(others, lambda c: F.xxhash64(c["label"], c["i"]))))
     region = F.xxhash64("region", F.least("mine", "with"), F.greatest("mine", "with"))
-    return dealt.select(region.alias("region"), "node", "grams").groupBy("region").applyInArrow(_join_region(percent), _LINK)
+    return dealt.select(region.alias("region"), "node", "grams", "label").groupBy("region").applyInArrow(_join_region(percent), _LINK)
 
 
 def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id that links reach), class_id (smallest doc_id with the same set), links (of the row's class to other sets in the spanning forest)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # texts are read once for the rows and once for the signatures, which go straight into their shuffle
+    # texts are read once for the rows and twice for the n-grams, which go straight into their shuffles
     rows = written(map_texts(docs, _sized(n), _ROW), "sets")
     total = rows.agg(F.sum("n_shingles")).first()[0] or 0
     spark = docs.sparkSession

@@ -245,3 +245,36 @@ def test_pipeline(spark, sf):
         assert docs.columns == table(spark, sf, "documents").columns and 0 < docs.count() <= n
         n = docs.count()
     check_packing(corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect(), {r.doc_id: r.text for r in docs.collect()})
+
+
+def test_op4_heavy_regions_stay_exact(spark, monkeypatch):
+    """Groups far over a task's weight: pivots, labels, cells and chunks against all pairs."""
+    import random
+
+    from navlattice.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "WEIGHT", 20_000)
+    rnd = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(4):
+        base = rnd.choices(vocabulary, k=80)
+        for _ in range(150):
+            words = list(base)
+            for _ in range(rnd.randrange(5)):
+                words[rnd.randrange(80)] = rnd.choice(vocabulary)
+            texts.append(" ".join(words))
+    texts += [" ".join(rnd.choices(vocabulary, k=rnd.randrange(12))) for _ in range(150)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for n, percent in ((5, 80), (3, 90)):
+        sets = [frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if (w := t.split()) else frozenset() for t in texts]
+        top = list(range(len(sets)))
+        for x in range(len(sets)):
+            for y in range(x):
+                both = len(sets[x] & sets[y])
+                if both and 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                    a, b = top[x], top[y]
+                    if a != b:
+                        top = [min(a, b) if t in (a, b) else t for t in top]
+        got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(frame, n, percent).collect()}
+        assert [got[i] for i in range(len(sets))] == top
