@@ -1,27 +1,34 @@
 """Secret scanning through nested encodings: a worklist of layers, unwrapped to the fixpoint.
 
 The text is the first layer.  Every layer is searched for secrets and for
-encoded runs (percent escapes, Unicode escapes, base64, and compressed data
-inside base64); each run that decodes becomes a further layer on the list.  A
-layer carries, for each of its characters, where that character began and
-ended in the original, so a secret found at any depth has a span there.  The
-layers met so far are kept by their text and place: one that comes again is
+encoded runs (percent escapes, Unicode escapes, base64) and compressed streams;
+each that decodes becomes a further layer on the list.  Layers are bytes, as
+all patterns are ASCII.  A layer carries, for each of its bytes, where that
+byte began and ended in the original, so a secret found at any depth has a span
+there; what comes out of a compressed stream has the stream's place.  The
+layers met so far are kept by their bytes and places: one that comes again is
 not unwrapped again, so the list runs dry.
 
+Compressed streams are opened wherever they begin in a decoded layer, all
+members of a stream end to end, at any depth.  A layer of over INFLATED bytes
+goes on in an unlinked file that is mapped and searched whole like any other.
+
 Defined cases: null and empty texts have no spans; a run that is no valid
-UTF-8 text after decoding is no layer; very long texts are searched whole, one
-row at a time; repeated rows are searched each for itself; other columns are
-carried along by `redact` and ignored by `find_secrets`.
+UTF-8 text after decoding is searched for compressed streams only; a damaged
+gzip stream counts as far as it can be read; very long texts are searched
+whole, one row at a time; repeated rows are searched each for itself; other
+columns are carried along by `redact` and ignored by `find_secrets`.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
+import mmap
 import re
+import tempfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,111 +42,197 @@ KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-
-_PERCENT = re.compile(r"[^\s\"'<>]*%[0-9A-Fa-f]{2}[^\s\"'<>]*")
-_ESCAPED = re.compile(r"(?:[!-\[\]-~]*(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};))+[!-\[\]-~]*")
-_ESCAPE = re.compile(r"(?:\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2}))|\\[ux]([0-9A-Fa-f]{4}|[0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Bytes of one decompressed layer that are held at once; a larger one is no text secret and stays packed.
+_IN_TEXT = (ASSIGN, ACCESS, HEX)
+_IN_BYTES = tuple(re.compile(p.pattern.encode()) for p in _IN_TEXT)
+
+_PERCENT = re.compile(rb"[^\s\"'<>]*%[0-9A-Fa-f]{2}[^\s\"'<>]*")
+_PERCENT_ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})")
+_ESCAPED = re.compile(rb"(?:[!-\[\]-~]*(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};))+[!-\[\]-~]*")
+_ESCAPE = re.compile(rb"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
+_BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
+_GZIP = b"\x1f\x8b\x08"
+# gzip's first bytes, or a zlib header: method 8, no dictionary, a multiple of 31
+_PACKED = re.compile(b"|".join([re.escape(_GZIP), *(re.escape(bytes([c])) + b"[" + b"".join(b"\\x%02x" % f for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 0x20) + b"]" for c in range(0x08, 0x80, 0x10))]))
+#: Bytes of one decoded layer that are held in memory; a larger one is a mapped file.
 INFLATED = 64 << 20
+#: Compressed bytes opened at once: at most 1032 times as many come out.
+PIECE = 4096
 
 
-def plain_spans(text: str) -> list[tuple[str, int, int]]:
+def plain_spans(text, patterns=_IN_TEXT) -> list[tuple[str, int, int]]:
     """The contract's matches in one layer: leftmost, non-overlapping for each kind."""
-    out = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 8]
-    if "AKIA" in text:
-        out += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)]
-    out += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
+    assign, access, hexes = patterns
+    out = [("assign", m.start(), m.end()) for m in assign.finditer(text) if m.end(1) - m.start(1) >= 8]
+    out += [("access", m.start(), m.end()) for m in access.finditer(text)]
+    out += [("hex", m.start(), m.end()) for m in hexes.finditer(text)]
     return out
 
 
-def _utf8(raw: np.ndarray, begin: np.ndarray, end: np.ndarray):
-    """Bytes with their places as characters with theirs; None where they are no text."""
-    try:
-        text = raw.tobytes().decode("utf-8")
-    except UnicodeDecodeError:
+class Layer:
+    """Bytes between lo and hi of the original, with the places of each, which may be a function; without places each has the whole place."""
+
+    def __init__(self, raw, lo: int, hi: int, places: tuple[np.ndarray, np.ndarray] | Callable | None = None):
+        self.raw, self.lo, self.hi, self._places = raw, lo, hi, places
+
+    def places(self) -> tuple[np.ndarray, np.ndarray] | None:
+        if callable(self._places):
+            self._places = self._places()
+        return self._places
+
+    def span(self, a: int, z: int) -> tuple[int, int]:
+        if (places := self.places()) is None:
+            return self.lo, self.hi
+        return int(places[0][a]), int(places[1][z - 1])
+
+    def key(self, a: int, z: int) -> tuple:
+        h = hashlib.blake2b(memoryview(self.raw)[a:z], digest_size=16)
+        if (places := self.places()) is not None:
+            h.update(places[0][a:z])
+        return h.digest(), *self.span(a, z)
+
+
+def _first(text: str) -> Layer:
+    raw = text.encode("utf-8", "surrogatepass")
+
+    def places():
+        k = np.arange(len(raw), dtype=np.int32) if len(raw) == len(text) else np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80, dtype=np.int32) - 1
+        return k, k + 1
+
+    return Layer(raw, 0, len(text), places)
+
+
+class Sink:
+    """Bytes as they come, in memory or, once they are many, in an unlinked file."""
+
+    def __init__(self):
+        self.held, self.file = bytearray(), None
+
+    def write(self, data) -> None:
+        if self.file is not None:
+            self.file.write(data)
+            return
+        self.held += data
+        if len(self.held) > INFLATED:
+            self.file = tempfile.TemporaryFile()
+            self.file.write(self.held)
+            self.held = bytearray()
+
+    def done(self):
+        if self.file is None:
+            return bytes(self.held)
+        with self.file:
+            self.file.flush()
+            return mmap.mmap(self.file.fileno(), 0, access=mmap.ACCESS_READ)
+
+
+def _member(view: memoryview, at: int, sink: Sink) -> tuple[int, bool]:
+    """Opens one stream; where it ended, and whether it was whole."""
+    d = zlib.decompressobj(47)
+    while at < len(view) and not d.eof:
+        before, piece = d.copy(), view[at : at + PIECE]
+        try:
+            out = d.decompress(piece)
+        except zlib.error:  # what comes before the damage
+            for k in range(len(piece)):
+                try:
+                    sink.write(before.decompress(piece[k : k + 1]))
+                except zlib.error:
+                    return at + k, False
+            return at + len(piece), False
+        sink.write(out)
+        at += len(piece) - len(d.unused_data)
+    return at, d.eof
+
+
+def _streams(layer: Layer) -> Iterator[Layer]:
+    """What the compressed streams of a layer hold; members that follow each other are one stream."""
+    at, view = 0, memoryview(layer.raw)
+    while m := _PACKED.search(layer.raw, at):
+        sink, start = Sink(), m.start()
+        stop, whole = _member(view, start, sink)
+        # two bytes within a layer prove nothing without the stream's checksum
+        if not whole and m[0] != _GZIP and start:
+            at = start + 1
+            continue
+        while whole:
+            follow = re.compile(rb"\x00*").match(layer.raw, stop).end()
+            if not _PACKED.match(layer.raw, follow):
+                break
+            stop, whole = _member(view, follow, sink)
+        raw = sink.done()
+        if len(raw):
+            yield Layer(raw, layer.lo if start == 0 else layer.span(start, stop)[0], layer.hi if stop == len(view) else layer.span(start, stop)[1])
+        at = max(stop, start + 1)
+
+
+def _replaced(layer: Layer, a: int, z: int, escape: re.Pattern, value: Callable[[re.Match], bytes]) -> Layer | None:
+    """The run from a to z with its escapes decoded, everything else as it is."""
+    sink, at, cuts = Sink(), a, []
+    for m in escape.finditer(layer.raw, a, z):
+        new = value(m)
+        sink.write(layer.raw[at : m.start()])
+        sink.write(new)
+        cuts.append((m.start(), m.end(), len(new)))
+        at = m.end()
+    if not cuts:
         return None
-    if not text or sum(c.isprintable() or c in "\t\r\n" for c in text) < 0.9 * len(text):
-        return None
-    head = np.flatnonzero((raw & 0xC0) != 0x80)
-    tail = np.append(head[1:], len(raw)) - 1
-    return text, begin[head], end[tail]
-
-
-def _from_percent(run: str, begin: np.ndarray, end: np.ndarray):
-    raw, b, e, i = bytearray(), [], [], 0
-    for m in re.finditer(r"%([0-9A-Fa-f]{2})", run):
-        for j in range(i, m.start()):
-            code = run[j].encode("utf-8", "surrogatepass")
-            raw += code
-            b += [begin[j]] * len(code)
-            e += [end[j]] * len(code)
-        raw.append(int(m[1], 16))
-        b.append(begin[m.start()])
-        e.append(end[m.end() - 1])
-        i = m.end()
-    for j in range(i, len(run)):
-        code = run[j].encode("utf-8", "surrogatepass")
-        raw += code
-        b += [begin[j]] * len(code)
-        e += [end[j]] * len(code)
-    return _utf8(np.frombuffer(bytes(raw), np.uint8), np.array(b), np.array(e))
-
-
-def _from_escapes(run: str, begin: np.ndarray, end: np.ndarray):
-    out, b, e, i = [], [], [], 0
-    for m in _ESCAPE.finditer(run):
-        out += run[i : m.start()]
-        b += list(begin[i : m.start()])
-        e += list(end[i : m.start()])
-        if m[1]:
-            code = 0x10000 + ((int(m[1], 16) & 0x3FF) << 10 | int(m[2], 16) & 0x3FF)
-        else:
-            code = int(m[3] or m[5] or m[4], 10 if m[4] else 16)
-        if code > 0x10FFFF or 0xD800 <= code < 0xE000:
-            code = 0xFFFD
-        out.append(chr(code))
-        b.append(begin[m.start()])
-        e.append(end[m.end() - 1])
-        i = m.end()
-    out += run[i:]
-    return "".join(out), np.array(b + list(begin[i:])), np.array(e + list(end[i:]))
-
-
-def _inflate(raw: bytes) -> bytes | None:
-    if raw[:2] != b"\x1f\x8b" and not (len(raw) > 2 and raw[0] & 0x0F == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
-        return None
-    try:
-        d = zlib.decompressobj(47)
-        out = d.decompress(raw, INFLATED)
-        return out if d.eof else None
-    except zlib.error:
+    sink.write(layer.raw[at:z])
+    places = layer.places()
+    if places is not None:
+        start, stop, size = np.array(cuts, dtype=np.int64).T
+        inside = np.zeros(z - a + 1, dtype=np.int8)
+        inside[start - a] += 1
+        np.add.at(inside, stop - a, -1)
+        kept = a + np.flatnonzero(np.cumsum(inside, dtype=np.int8)[:-1] == 0)
+        first, last = np.concatenate([kept, np.repeat(start, size)]), np.concatenate([kept, np.repeat(stop - 1, size)])
+        order = np.argsort(first, kind="stable")
+        places = places[0][first[order]], places[1][last[order]]
+    return Layer(sink.done(), *layer.span(a, z), places)
+
+
+def _percent(m: re.Match) -> bytes:
+    return bytes([int(m[1], 16)])
+
+
+def _character(m: re.Match) -> bytes:
+    if m[1]:
+        code = 0x10000 + ((int(m[1], 16) & 0x3FF) << 10 | int(m[2], 16) & 0x3FF)
+    else:
+        code = int(m[3] or m[4] or m[6] or m[5], 10 if m[5] else 16)
+    if code < 256:  # a byte of a binary string, or a character that no pattern has
+        return bytes([code])
+    return chr(0xFFFD if code > 0x10FFFF or 0xD800 <= code < 0xE000 else code).encode()
+
+
+def _from_base64(layer: Layer, a: int, z: int) -> Layer | None:
+    body = layer.raw[a:z].rstrip(b"=")
+    if len(body) % 4 == 1:
         return None
+    raw = binascii.a2b_base64(body.translate(bytes.maketrans(b"-_", b"+/")) + b"=" * (-len(body) % 4))
 
+    def places():
+        begin, end = layer.places()
+        k = np.arange(len(raw))
+        return begin[a + k * 8 // 6], end[a + np.minimum((k * 8 + 7) // 6, len(body) - 1)]
 
-def _from_base64(run: str, begin: np.ndarray, end: np.ndarray):
-    body = run.rstrip("=")
-    if len(body) % 4 == 1:
-        return None
+    return Layer(raw, *layer.span(a, z), None if layer.places() is None else places)
+
+
+def _is_text(raw) -> bool:
     try:
-        raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return None
-    inner = _inflate(raw)
-    if inner is not None:  # no byte of it has a place of its own: the whole run is its place
-        return _utf8(np.frombuffer(inner, np.uint8), np.full(len(inner), begin[0]), np.full(len(inner), end[-1]))
-    k = np.arange(len(raw))
-    first = k * 8 // 6
-    last = np.minimum((k * 8 + 7) // 6, len(body) - 1)
-    return _utf8(np.frombuffer(raw, np.uint8), begin[first], end[last])
+        text = bytes(raw).decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.9 * len(text)
 
 
-def _runs(text: str):
-    if "%" in text:
-        yield from ((m, _from_percent) for m in _PERCENT.finditer(text))
-    if "\\" in text or "&#" in text:
-        yield from ((m, _from_escapes) for m in _ESCAPED.finditer(text))
-    yield from ((m, _from_base64) for m in _BASE64.finditer(text))
+def _runs(layer: Layer) -> Iterator[tuple[int, int, Callable[[Layer, int, int], Layer | None]]]:
+    raw = layer.raw
+    if raw.find(b"%") >= 0:
+        yield from ((*m.span(), lambda *run: _replaced(*run, _PERCENT_ESCAPE, _percent)) for m in _PERCENT.finditer(raw))
+    if raw.find(b"\\") >= 0 or raw.find(b"&#") >= 0:
+        yield from ((*m.span(), lambda *run: _replaced(*run, _ESCAPE, _character)) for m in _ESCAPED.finditer(raw))
+    yield from ((*m.span(), _from_base64) for m in _BASE64.finditer(raw))
 
 
 def all_spans(text: str) -> tuple[list, list]:
@@ -147,21 +240,21 @@ def all_spans(text: str) -> tuple[list, list]:
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     base = plain_spans(text)
     found = set(base)
-    work, seen = [(text, None, None)], set()
+    first = _first(text)
+    work, seen = [first], set()
     while work:
-        layer, begin, end = work.pop()
-        for m, decode in _runs(layer):
-            a, z = m.span()
-            where = (np.arange(a, z), np.arange(a + 1, z + 1)) if begin is None else (begin[a:z], end[a:z])
-            inner = decode(m[0], *where)
-            if inner is None or inner[0] == m[0]:
-                continue
-            key = (hashlib.blake2b(inner[0].encode("utf-8", "surrogatepass"), digest_size=16).digest(), int(where[0][0]))
-            if key in seen:
-                continue
-            seen.add(key)
-            found.update((kind, int(inner[1][s]), int(inner[2][t - 1])) for kind, s, t in plain_spans(inner[0]))
-            work.append(inner)
+        layer = work.pop()
+        inner = []
+        if layer is not first:
+            inner += _streams(layer)
+        if layer is first or _is_text(layer.raw):
+            if layer is not first:
+                found.update((kind, *layer.span(s, t)) for kind, s, t in plain_spans(layer.raw, _IN_BYTES))
+            inner += (decode(layer, a, z) for a, z, decode in _runs(layer))
+        for new in inner:
+            if new is not None and len(new.raw) and (key := new.key(0, len(new.raw))) not in seen:
+                seen.add(key)
+                work.append(new)
     return sorted(base, key=order), sorted(found, key=order)
 
 

@@ -49,6 +49,23 @@ def test_secrets_nested():
     assert secrets.all_spans("token: AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAA")[0][0] == ("assign", 0, 39)
 
 
+def test_secrets_compressed_layers(monkeypatch):
+    """Streams in streams, of several members, larger than what is held in memory, and in escapes."""
+    import base64
+    import gzip
+
+    plain = b"password=abcdefgh1234"
+    far = b"n " * 5000 + plain + b" n" * 5000
+    half = gzip.compress(plain[:12]) + gzip.compress(plain[12:])
+    raws = [gzip.compress(gzip.compress(plain)), zlib.compress(gzip.compress(zlib.compress(plain))), gzip.compress(b"nothing here") + gzip.compress(plain), half, gzip.compress(far)]
+    runs = [base64.b64encode(r).decode() for r in raws]
+    runs += ["".join(f"%{c:02X}" for c in raws[0]), "".join(f"\\x{c:02x}" for c in raws[1]), base64.b64encode(gzip.compress(base64.b64encode(far))).decode()]
+    for held in (secrets.INFLATED, 100):
+        monkeypatch.setattr(secrets, "INFLATED", held)
+        for run in runs:
+            assert ("assign", 4, 4 + len(run)) in secrets.all_spans(f"see {run} here")[1], run
+
+
 def test_urls(spark, sf):
     rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
     rows = queries.op3_url_filter(spark, sf).collect()
