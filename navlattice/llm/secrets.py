@@ -9,6 +9,8 @@ there; what comes out of a compressed stream has the stream's place.  The
 layers met so far are kept by their bytes and places: one that comes again is
 not unwrapped again, so the list runs dry.
 
+Escapes of one kind are decoded over a whole layer, so that a secret keeps its
+key and what else stands around them; a base64 run is a message of its own.
 Compressed streams are opened wherever they begin in a decoded layer, all
 members of a stream end to end, at any depth.  A layer of over INFLATED bytes
 goes on in an unlinked file that is mapped and searched whole like any other.
@@ -45,8 +47,8 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 _IN_TEXT = (ASSIGN, ACCESS, HEX)
 _IN_BYTES = tuple(re.compile(p.pattern.encode()) for p in _IN_TEXT)
 
-_PERCENT = re.compile(rb"[^\s\"'<>]*%[0-9A-Fa-f]{2}[^\s\"'<>]*")
-_PERCENT_ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})")
+_PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})")
+_ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})")
 _ESCAPED = re.compile(rb"(?:[!-\[\]-~]*(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};))+[!-\[\]-~]*")
 _ESCAPE = re.compile(rb"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
@@ -165,10 +167,10 @@ def _streams(layer: Layer) -> Iterator[Layer]:
         at = max(stop, start + 1)
 
 
-def _replaced(layer: Layer, a: int, z: int, escape: re.Pattern, value: Callable[[re.Match], bytes]) -> Layer | None:
-    """The run from a to z with its escapes decoded, everything else as it is."""
-    sink, at, cuts = Sink(), a, []
-    for m in escape.finditer(layer.raw, a, z):
+def _replaced(layer: Layer, escape: re.Pattern, value: Callable[[re.Match], bytes]) -> Layer | None:
+    """The whole layer with its escapes decoded, everything else as it is."""
+    sink, at, cuts = Sink(), 0, []
+    for m in escape.finditer(layer.raw):
         new = value(m)
         sink.write(layer.raw[at : m.start()])
         sink.write(new)
@@ -176,18 +178,18 @@ def _replaced(layer: Layer, a: int, z: int, escape: re.Pattern, value: Callable[
         at = m.end()
     if not cuts:
         return None
-    sink.write(layer.raw[at:z])
+    sink.write(layer.raw[at:])
     places = layer.places()
     if places is not None:
         start, stop, size = np.array(cuts, dtype=np.int64).T
-        inside = np.zeros(z - a + 1, dtype=np.int8)
-        inside[start - a] += 1
-        np.add.at(inside, stop - a, -1)
-        kept = a + np.flatnonzero(np.cumsum(inside, dtype=np.int8)[:-1] == 0)
+        inside = np.zeros(len(layer.raw) + 1, dtype=np.int8)
+        inside[start] += 1
+        np.add.at(inside, stop, -1)
+        kept = np.flatnonzero(np.cumsum(inside, dtype=np.int8)[:-1] == 0)
         first, last = np.concatenate([kept, np.repeat(start, size)]), np.concatenate([kept, np.repeat(stop - 1, size)])
         order = np.argsort(first, kind="stable")
         places = places[0][first[order]], places[1][last[order]]
-    return Layer(sink.done(), *layer.span(a, z), places)
+    return Layer(sink.done(), layer.lo, layer.hi, places)
 
 
 def _percent(m: re.Match) -> bytes:
@@ -226,13 +228,14 @@ def _is_text(raw) -> bool:
     return sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.9 * len(text)
 
 
-def _runs(layer: Layer) -> Iterator[tuple[int, int, Callable[[Layer, int, int], Layer | None]]]:
+def _unwrapped(layer: Layer) -> Iterator[Layer | None]:
+    """The layers inside a layer, compressed streams aside."""
     raw = layer.raw
     if raw.find(b"%") >= 0:
-        yield from ((*m.span(), lambda *run: _replaced(*run, _PERCENT_ESCAPE, _percent)) for m in _PERCENT.finditer(raw))
+        yield _replaced(layer, _PERCENT, _percent)
     if raw.find(b"\\") >= 0 or raw.find(b"&#") >= 0:
-        yield from ((*m.span(), lambda *run: _replaced(*run, _ESCAPE, _character)) for m in _ESCAPED.finditer(raw))
-    yield from ((*m.span(), _from_base64) for m in _BASE64.finditer(raw))
+        yield _replaced(layer, _ESCAPE, _character)
+    yield from (_from_base64(layer, *m.span()) for m in _BASE64.finditer(raw))
 
 
 def all_spans(text: str) -> tuple[list, list]:
@@ -250,7 +253,7 @@ def all_spans(text: str) -> tuple[list, list]:
         if layer is first or _is_text(layer.raw):
             if layer is not first:
                 found.update((kind, *layer.span(s, t)) for kind, s, t in plain_spans(layer.raw, _IN_BYTES))
-            inner += (decode(layer, a, z) for a, z, decode in _runs(layer))
+            inner += _unwrapped(layer)
         for new in inner:
             if new is not None and len(new.raw) and (key := new.key(0, len(new.raw))) not in seen:
                 seen.add(key)

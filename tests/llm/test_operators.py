@@ -66,6 +66,14 @@ def test_secrets_compressed_layers(monkeypatch):
             assert ("assign", 4, 4 + len(run)) in secrets.all_spans(f"see {run} here")[1], run
 
 
+def test_secrets_key_outside_the_run():
+    """A value in escapes whose key is plain, and the reverse: the span reaches over both."""
+    for secret in ('api_key": "\\u0041bCdEfGh1234567', "token: abcd%2Fefgh1234", 'password="abc%2Bdefgh12', 'token": "abc&#x2F;defgh12', "p%61ssword: abcd%2Fefgh", "p\\u0061ssword : abcd%2Fefgh"):
+        text = f'{{"é": 1, "{secret}"}}'
+        at = text.index(secret)
+        assert ("assign", at, at + len(secret)) in secrets.all_spans(text)[1], secret
+
+
 def test_urls(spark, sf):
     rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
     rows = queries.op3_url_filter(spark, sf).collect()
