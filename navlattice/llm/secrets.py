@@ -15,11 +15,12 @@ Compressed streams are opened wherever they begin in a decoded layer, all
 members of a stream end to end, at any depth.  A layer of over INFLATED bytes
 goes on in an unlinked file that is mapped and searched whole like any other.
 
-Defined cases: null and empty texts have no spans; a run that is no valid
-UTF-8 text after decoding is searched for compressed streams only; a damaged
-gzip stream counts as far as it can be read; very long texts are searched
-whole, one row at a time; repeated rows are searched each for itself; other
-columns are carried along by `redact` and ignored by `find_secrets`.
+Defined cases: null and empty texts have no spans; bytes that
+are no text stay in their layer and match nothing, what stands between them is
+searched; a damaged gzip stream counts as far as it can be read; very long
+texts are searched whole, one row at a time; repeated rows are searched each
+for itself; other columns are carried along by `redact` and ignored by
+`find_secrets`.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ import re
 import tempfile
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -220,14 +222,6 @@ def _from_base64(layer: Layer, a: int, z: int) -> Layer | None:
     return Layer(raw, *layer.span(a, z), None if layer.places() is None else places)
 
 
-def _is_text(raw) -> bool:
-    try:
-        text = bytes(raw).decode("utf-8")
-    except UnicodeDecodeError:
-        return False
-    return sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.9 * len(text)
-
-
 def _unwrapped(layer: Layer) -> Iterator[Layer | None]:
     """The layers inside a layer, compressed streams aside."""
     raw = layer.raw
@@ -247,13 +241,10 @@ def all_spans(text: str) -> tuple[list, list]:
     work, seen = [first], set()
     while work:
         layer = work.pop()
-        inner = []
+        inner = _unwrapped(layer)
         if layer is not first:
-            inner += _streams(layer)
-        if layer is first or _is_text(layer.raw):
-            if layer is not first:
-                found.update((kind, *layer.span(s, t)) for kind, s, t in plain_spans(layer.raw, _IN_BYTES))
-            inner += _unwrapped(layer)
+            found.update((kind, *layer.span(s, t)) for kind, s, t in plain_spans(layer.raw, _IN_BYTES))
+            inner = chain(inner, _streams(layer))
         for new in inner:
             if new is not None and len(new.raw) and (key := new.key(0, len(new.raw))) not in seen:
                 seen.add(key)

@@ -74,6 +74,20 @@ def test_secrets_key_outside_the_run():
         assert ("assign", at, at + len(secret)) in secrets.all_spans(text)[1], secret
 
 
+def test_secrets_among_bad_bytes():
+    import base64
+    import gzip
+
+    binary = bytes(range(128, 256)) * 2
+    text = "https://x.org/?q=caf%E9&api_key%3DAbCd1234EfGh"
+    assert ("assign", text.index("api"), len(text)) in secrets.all_spans(text)[1]
+    run = base64.b64encode(binary + b"\x00password=abcdefgh1234\xff" + binary).decode()
+    (span,) = (s for s in secrets.all_spans(f"see {run} here")[1] if s[0] == "assign")
+    assert len(binary) * 4 // 3 <= span[1] - 4 <= span[2] - 4 <= len(run) - len(binary) * 4 // 3
+    run = base64.b64encode(gzip.compress(binary + b"password=abcdefgh1234" + binary)).decode()
+    assert ("assign", 4, 4 + len(run)) in secrets.all_spans(f"see {run} here")[1]
+
+
 def test_urls(spark, sf):
     rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
     rows = queries.op3_url_filter(spark, sf).collect()
