@@ -11,6 +11,8 @@ not unwrapped again, so the list runs dry.
 
 Escapes of one kind are decoded over a whole layer, so that a secret keeps its
 key and what else stands around them; a base64 run is a message of its own.
+Base64 is read at all four alignments of a run, in the standard alphabet, the
+URL-safe one and both together, and over line ends.
 Compressed streams are opened wherever they begin in a decoded layer, all
 members of a stream end to end, at any depth.  A layer of over INFLATED bytes
 goes on in an unlinked file that is mapped and searched whole like any other.
@@ -54,9 +56,14 @@ _ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})")
 _ESCAPED = re.compile(rb"(?:[!-\[\]-~]*(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};))+[!-\[\]-~]*")
 _ESCAPE = re.compile(rb"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
+_BREAK = re.compile(rb"[\t\x20]*(?:\r?\n|(?:\\r)?\\n)[\t\x20]*")
+_WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\t\x20]*+(?:\r?\n|(?:\\r)?\\n)[\t\x20]*+[A-Za-z0-9+/_-]++)++={0,2}")
+# what splits a run, and the longest pieces without it
+_ALPHABETS = ((re.compile(rb"[_-]"), re.compile(rb"[^_-]{16,}")), (re.compile(rb"[+/]"), re.compile(rb"[^+/]{16,}")))
 _GZIP = b"\x1f\x8b\x08"
 # gzip's first bytes, or a zlib header: method 8, no dictionary, a multiple of 31
 _PACKED = re.compile(b"|".join([re.escape(_GZIP), *(re.escape(bytes([c])) + b"[" + b"".join(b"\\x%02x" % f for f in range(256) if (c << 8 | f) % 31 == 0 and not f & 0x20) + b"]" for c in range(0x08, 0x80, 0x10))]))
+_STANDARD = bytes.maketrans(b"-_", b"+/")
 #: Bytes of one decoded layer that are held in memory; a larger one is a mapped file.
 INFLATED = 64 << 20
 #: Compressed bytes opened at once: at most 1032 times as many come out.
@@ -208,28 +215,71 @@ def _character(m: re.Match) -> bytes:
     return chr(0xFFFD if code > 0x10FFFF or 0xD800 <= code < 0xE000 else code).encode()
 
 
-def _from_base64(layer: Layer, a: int, z: int) -> Layer | None:
-    body = layer.raw[a:z].rstrip(b"=")
-    if len(body) % 4 == 1:
-        return None
-    raw = binascii.a2b_base64(body.translate(bytes.maketrans(b"-_", b"+/")) + b"=" * (-len(body) % 4))
-
-    def places():
-        begin, end = layer.places()
-        k = np.arange(len(raw))
-        return begin[a + k * 8 // 6], end[a + np.minimum((k * 8 + 7) // 6, len(body) - 1)]
-
-    return Layer(raw, *layer.span(a, z), None if layer.places() is None else places)
+def _base64_runs(raw) -> Iterator[tuple[int, int]]:
+    """Runs and wrapped runs of both alphabets together, and the pieces that are in one of them."""
+    for m in chain(_BASE64.finditer(raw), _WRAPPED.finditer(raw) if raw.find(b"\n") >= 0 or raw.find(b"\\n") >= 0 else ()):
+        a, z = m.span()
+        if z - a < 16:
+            continue
+        yield a, z
+        for other, piece in _ALPHABETS:
+            if other.search(raw, a, z):
+                yield from (p.span() for p in piece.finditer(raw, a, z))
 
 
-def _unwrapped(layer: Layer) -> Iterator[Layer | None]:
+def _from_base64(layer: Layer, a: int, z: int) -> Iterator[Layer]:
+    """A run decoded at each of its four alignments."""
+    raw = layer.raw
+    ends = [a, *(x for m in _BREAK.finditer(raw, a, z) for x in m.span()), z]
+    lines = [(s, t) for s, t in zip(ends[::2], ends[1::2], strict=True) if s < t]
+    if not lines:
+        return
+    s, t = lines[-1]
+    while s < t and raw[t - 1 : t] == b"=":
+        t -= 1
+    lines[-1] = s, t
+    for skip in range(4):
+        if skip:  # one letter less than before
+            while lines and lines[0][0] == lines[0][1]:
+                lines = lines[1:]
+            if not lines:
+                return
+            lines = [(lines[0][0] + 1, lines[0][1]), *lines[1:]]
+        sink, left = Sink(), b""
+        for s, t in lines:
+            for at in range(s, t, PIECE):
+                body = left + raw[at : min(at + PIECE, t)]
+                whole = len(body) & -4
+                left = body[whole:]
+                sink.write(_letters(body[:whole]))
+        if len(left) > 1:
+            sink.write(_letters(left + b"=" * (4 - len(left))))
+        out = sink.done()
+
+        def places(lines=lines, size=len(out)):
+            begin, end = layer.places()
+            letter = np.concatenate([np.arange(s, t) for s, t in lines])
+            k = np.arange(size)
+            return begin[letter[k * 8 // 6]], end[letter[np.minimum((k * 8 + 7) // 6, len(letter) - 1)]]
+
+        yield Layer(out, *layer.span(next((s for s, t in lines if s < t), a), z), None if layer.places() is None else places)
+
+
+def _letters(body: bytes) -> bytes:
+    return binascii.a2b_base64(body.translate(_STANDARD))
+
+
+def _unwrapped(layer: Layer, seen: set) -> Iterator[Layer | None]:
     """The layers inside a layer, compressed streams aside."""
     raw = layer.raw
     if raw.find(b"%") >= 0:
         yield _replaced(layer, _PERCENT, _percent)
     if raw.find(b"\\") >= 0 or raw.find(b"&#") >= 0:
         yield _replaced(layer, _ESCAPE, _character)
-    yield from (_from_base64(layer, *m.span()) for m in _BASE64.finditer(raw))
+    for a, z in _base64_runs(raw):
+        if (key := layer.key(a, z)) not in seen:  # not met in another layer
+            seen.add(key)
+            yield from _from_base64(layer, a, z)
 
 
 def all_spans(text: str) -> tuple[list, list]:
@@ -241,12 +291,12 @@ def all_spans(text: str) -> tuple[list, list]:
     work, seen = [first], set()
     while work:
         layer = work.pop()
-        inner = _unwrapped(layer)
+        inner = _unwrapped(layer, seen)
         if layer is not first:
             found.update((kind, *layer.span(s, t)) for kind, s, t in plain_spans(layer.raw, _IN_BYTES))
             inner = chain(inner, _streams(layer))
         for new in inner:
-            if new is not None and len(new.raw) and (key := new.key(0, len(new.raw))) not in seen:
+            if new is not None and len(new.raw) and (key := ("layer", *new.key(0, len(new.raw)))) not in seen:
                 seen.add(key)
                 work.append(new)
     return sorted(base, key=order), sorted(found, key=order)

@@ -88,6 +88,28 @@ def test_secrets_among_bad_bytes():
     assert ("assign", 4, 4 + len(run)) in secrets.all_spans(f"see {run} here")[1]
 
 
+def test_secrets_base64_alignment_alphabets_and_lines():
+    import base64
+    import gzip
+
+    plain = b"some words?> password=abcdefgh1234"
+    run, safe = base64.b64encode(plain).decode(), base64.urlsafe_b64encode(plain).decode()
+    for before in ("https://x.io/cb/", "id_", "v1-", "x", "xy", "+/+", "a-b/"):
+        for r in (run, safe):
+            text = f"{before}{r.rstrip('=')} here"
+            (span,) = (s for s in secrets.all_spans(text)[1] if s[0] == "assign")
+            assert len(before) + 16 <= span[1] and len(before) + len(r) - 4 <= span[2] <= len(text) - 5, text
+    long = base64.b64encode(b"n" * 35 + b" password=abcdefgh1234 " + b"n" * 90).decode()
+    packed = base64.b64encode(gzip.compress(bytes(range(256)) + b"password=abcdefgh1234")).decode()
+    for width in (64, 76):
+        for end in ("\n", "\r\n", "\\n", "\n  "):
+            for r in (long, packed):
+                wrapped = end.join(r[i : i + width] for i in range(0, len(r), width))
+                span = max((s for s in secrets.all_spans(f"see\n{wrapped}\nhere")[1] if s[0] == "assign"), key=lambda s: s[2] - s[1])
+                assert 4 <= span[1] < span[2] <= 4 + len(wrapped)
+                assert r is packed or span[1] >= 4 + 48 and span[2] <= 4 + 80 + 2 * len(end)
+
+
 def test_urls(spark, sf):
     rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
     rows = queries.op3_url_filter(spark, sf).collect()
