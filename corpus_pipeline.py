@@ -22,7 +22,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     from navlattice.llm.common import written
     from navlattice.llm.jaccard_join import jaccard_components
 
-    group = jaccard_components(docs, n=5, percent=80)
+    group = jaccard_components(docs, n=5, percent=80, count=False)
     gone = written(group.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
     kept = docs.join(gone, "doc_id", "left_anti")
     return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))

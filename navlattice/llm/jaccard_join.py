@@ -21,6 +21,13 @@ recursion runs on arrays; a leaf orders its members by the distance to a pivot
 and compares only those within one radius of each other on it that are not
 yet connected.  Only a spanning forest of the links is passed on.
 
+The numbers of links are counted apart from that, where they are wanted, as a
+spanning forest leaves most links out.  Every member has one home, the cell of
+its nearest pivot, at each level: all that it links with is in that cell too,
+so its links are counted there and nowhere else.  Regions whose cells would
+not shrink are dealt out by pairs of chunks, which count what lies across
+them, and single chunks, which count what lies inside.
+
 Equal sets are one node (a 64-bit digest of the set): the class of copies.
 Memory is bounded by WEIGHT; no candidate is capped or left out.
 
@@ -298,6 +305,8 @@ _COUNTS = "shard int, counts binary, keys binary"
 _MEMBER = "region long, node long, grams binary, label long"
 _LABELLED = _MEMBER + ", cells array<long>, a array<long>"
 _LINK = "a long, b long"
+_CELLED = "region long, node long, grams binary, home boolean, cells array<struct<cell: long, home: boolean>>"
+_DEGREE = "node long, links long"
 
 
 def _write_wanted(folder: str):
@@ -395,6 +404,33 @@ class Region:
                 return
         self.leaf(members)
 
+    def count(self, members: np.ndarray, home: np.ndarray, side: np.ndarray, degree: np.ndarray, depth: int = 0) -> None:
+        """Adds to `degree` the links of the members that are at home here; with sides, only those between two sides (-1: any)."""
+        if len(members) < 2 or not home.any():
+            return
+        if len(members) > LEAF and depth < 8:
+            pivots = members[np.linspace(0, len(members) - 1, min(8, len(members) // LEAF + 2)).astype(int)]
+            d = np.stack([1 - np.divide(*self.against(int(p), members)) for p in pivots])
+            nearest, own = d.min(0), d.argmin(0)
+            inside = [row <= nearest + 2 * self.radius + 1e-9 for row in d]
+            if max(x.sum() for x in inside) < 0.7 * len(members):
+                for k, x in enumerate(inside):
+                    self.count(members[x], (home & (own == k))[x], side, degree, depth + 1)
+                return
+        d = 1 - np.divide(*self.against(int(members[0]), members))
+        order = np.argsort(d, kind="stable")
+        members, home, d = members[order], home[order], d[order]
+        for i in range(len(members) - 1):
+            x, last = int(members[i]), np.searchsorted(d, d[i] + self.radius + 1e-9, "right")
+            y, at_home, size = members[i + 1 : last], home[i + 1 : last], self.size[x]
+            near = (100 * self.size[y] >= self.percent * size) & (100 * size >= self.percent * self.size[y]) & (at_home | home[i]) & ((side[y] < 0) | (side[y] != side[x]))
+            y, at_home = y[near], at_home[near]
+            if len(y):
+                both, union = self.against(x, y)
+                linked = 100 * both >= self.percent * union
+                degree[x] += linked.sum() if home[i] else 0
+                degree[y[linked & at_home]] += 1
+
     def leaf(self, members: np.ndarray) -> None:
         d = self.distance(int(members[0]), members)
         order = np.argsort(d, kind="stable")
@@ -427,6 +463,22 @@ def _join_region(percent: int):
     return run
 
 
+def _count_region(percent: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """The number of links, inside one region, of each member at home in it."""
+        # repeated rows are one member
+        _, one = np.unique(table.column("node").to_numpy(), return_index=True)
+        node, home, side = (table.column(x).to_numpy()[one] for x in ("node", "home", "side"))
+        blobs = table.column("grams")
+        region = Region([np.frombuffer(blobs[int(i)].as_py(), U64) for i in one], percent)
+        degree = np.zeros(len(node), dtype=np.int64)
+        region.count(np.arange(len(node)), home, side, degree)
+        some = np.flatnonzero(degree)
+        return pa.table({"node": pa.array(node[some]), "links": pa.array(degree[some])})
+
+    return run
+
+
 def _write_pivots(folder: str):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         """Writes one region's pivots: their number, lengths, nodes, labels (with 1 where there is one) and sets."""
@@ -484,6 +536,65 @@ def _to_cells(folder: str, percent: int):
     return run
 
 
+def _to_homes(folder: str, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The members with the Voronoi cells and windows that they belong to, and in which of these they are at home."""
+        pivots: dict[int, Pivots] = {}
+        for batch in slices(batches, "grams"):
+            cells = []
+            for region, grams, home in zip(*(batch.column(x).to_pylist() for x in ("region", "grams", "home")), strict=True):
+                if region not in pivots:
+                    pivots[region] = Pivots(mapped(f"{folder}/{region}").view(U64), percent)
+                d = pivots[region].within(np.frombuffer(grams, U64))[1]
+                near = np.flatnonzero(d <= d.min() + 2 * (1 - percent / 100) + 1e-9)
+                name = tv.mix(np.array([region], np.int64).view(U64) + near.astype(U64) + U64(1)).view(np.int64)
+                cells.append([{"cell": c, "home": home and k == d.argmin()} for c, k in zip(name.tolist(), near.tolist(), strict=True)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("region", "node", "grams", "home")), pa.array(cells, pa.list_(pa.struct([("cell", pa.int64()), ("home", pa.bool_())])))], names=["region", "node", "grams", "home", "cells"])
+
+    return run
+
+
+def _degrees(members: DataFrame, percent: int) -> DataFrame:
+    """(node, links): how many others each member links with; members is (region, node, grams, label), a written table."""
+    spark = members.sparkSession
+    mine = F.octet_length("grams") / 8 + EACH
+    members = members.select("region", "node", "grams", F.lit(True).alias("home"))
+    out = []
+    for level in range(8):
+        heavy = written(members.groupBy("region").agg(F.sum(mine).alias("weight"), F.count("*").alias("n")).where(F.col("weight") > WEIGHT), "heavy")
+        light = members.join(heavy, "region", "left_anti").withColumn("side", F.lit(-1))
+        out.append(light.groupBy("region").applyInArrow(_count_region(percent), _DEGREE))
+        if not heavy.head(1):
+            break
+        rest = members.join(heavy, "region")
+        folder = shared_dir(spark, "pivots")
+        luck = (F.xxhash64(F.col("node"), F.lit(level)).cast("double") / 2.0**64) + 0.5
+        chosen = rest.where(luck * F.col("weight") <= mine * PIVOTS).select("region", "node", "grams", F.lit(None).cast("long").alias("label"))
+        chosen.groupBy("region").applyInArrow(_write_pivots(folder), "region long").write.parquet(shared_dir(spark, "pivots-done"))
+        have = _done(spark, folder)
+        if level == 7 or not have:
+            out.append(_count_chunks(rest, percent))
+            break
+        out.append(_count_chunks(rest.where(~F.col("region").isin(have)), percent))
+        celled = written(map_texts(rest.where(F.col("region").isin(have)).drop("weight", "n"), _to_homes(folder, percent), _CELLED), "celled")
+        sizes = celled.select("region", F.explode("cells.cell").alias("cell")).groupBy("region", "cell").count().groupBy("region").agg(F.max("count").alias("most"))
+        stuck = written(sizes.join(heavy, "region").where(F.col("most") > 0.7 * F.col("n")).select("region"), "stuck")
+        out.append(_count_chunks(celled.join(stuck, "region").drop("cells"), percent))
+        inside = celled.join(stuck, "region", "left_anti").select("node", "grams", F.explode("cells").alias("c"))
+        members = written(inside.select(F.col("c.cell").alias("region"), "node", "grams", F.col("c.home").alias("home")), "members")
+    return _union(out).groupBy("node").agg(F.sum("links").alias("links"))
+
+
+def _count_chunks(rest: DataFrame, percent: int) -> DataFrame:
+    """Counts in heavy regions by single chunks and all pairs of chunks, each small enough for a task."""
+    parts = rest.groupBy("region").agg(F.ceil(F.sum(F.octet_length("grams") / 8 + EACH) * 2 / WEIGHT).cast("int").alias("parts"))
+    dealt = rest.join(parts, "region").withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    region = F.xxhash64("region", F.least("side", "with"), F.greatest("side", "with"))
+    side = F.when(F.col("side") == F.col("with"), -1).otherwise(F.col("side"))
+    return dealt.select(region.alias("region"), "node", "grams", "home", side.alias("side")).groupBy("region").applyInArrow(_count_region(percent), _DEGREE)
+
+
 def _unfinished(members: DataFrame) -> DataFrame:
     """The members of regions that have more than one label, or members without one."""
     seen = members.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count("label") == F.count("*")).alias("all"))
@@ -543,8 +654,8 @@ def _chunks(rest: DataFrame, percent: int) -> DataFrame:
     return dealt.select(region.alias("region"), "node", "grams", "label").groupBy("region").applyInArrow(_join_region(percent), _LINK)
 
 
-def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id that links reach), class_id (smallest doc_id with the same set), links (of the row's class to other sets in the spanning forest)."""
+def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90, count: bool = True) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id that links reach), class_id (smallest doc_id with the same set), links (how many other sets the row's set links with; not without `count`)."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # texts are read once for the rows and twice for the n-grams, which go straight into their shuffles
     rows = written(map_texts(docs, _sized(n), _ROW), "sets")
@@ -561,21 +672,24 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     wanted.groupBy("shard").applyInArrow(_write_wanted(folder), "shard int").write.parquet(shared_dir(spark, "wanted-done"))
     members = written(map_texts(docs, _with_sets(n, Shards(folder, parts, 24), set(_done(spark, folder))), _MEMBER), "members")
     links = written(_links(members, percent), "links")
-    return _result(rows, links)
+    if not count:
+        return _result(rows, links, None)
+    return _result(rows, links, written(_degrees(members, percent), "degrees"))
 
 
-def _result(rows: DataFrame, links: DataFrame) -> DataFrame:
+def _result(rows: DataFrame, links: DataFrame, degree: DataFrame | None) -> DataFrame:
     # rows that share a doc_id share their component
     again = rows.where("node is not null and doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("a", "b")
     label = components(links.unionByName(again))
-    degree = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
-    label = label.join(degree, "node", "left")
     copies = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("class_id"))
-    label = copies.join(label, "node", "left").select("node", "class_id", F.coalesce("component", "node").alias("component"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    label = copies.join(label, "node", "left").select("node", "class_id", F.coalesce("component", "node").alias("component"))
     least = label.groupBy("component").agg(F.min("class_id").alias("component_id"))
     label = label.join(least, "component").drop("component")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return rows.join(label, "node", "left").select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    out = rows.join(label, "node", "left").select("node", "doc_id", "n_shingles", own.alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
+    if degree is None:
+        return out.drop("node")
+    return out.join(degree, "node", "left").select("doc_id", "n_shingles", "component_id", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def _done(spark, folder: str) -> list[int]:

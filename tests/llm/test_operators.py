@@ -148,6 +148,36 @@ def test_jaccard(spark, sf):
     assert got == {i: (len(sets[i]), find(i)) for i in ids}
 
 
+def test_op4_links_are_all_links(spark, monkeypatch):
+    """The numbers of links against all pairs: in tasks, in cells with windows, in chunks and across them."""
+    import random
+
+    monkeypatch.setattr(jaccard_join, "WEIGHT", 20_000)
+    monkeypatch.setattr(jaccard_join, "LEAF", 16)
+    rnd = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(300)]
+    texts = []
+    for size, changes in ((90, 3), (60, 1), (40, 6)):
+        base = rnd.choices(vocabulary, k=60)
+        for _ in range(size):
+            words = list(base)
+            for _ in range(rnd.randrange(changes + 1)):
+                words[rnd.randrange(60)] = rnd.choice(vocabulary)
+            texts.append(" ".join(words))
+    walk = rnd.choices(vocabulary, k=60)  # a chain: far ends, near neighbours
+    for _ in range(120):
+        walk[rnd.randrange(60)] = rnd.choice(vocabulary)
+        texts.append(" ".join(walk))
+    texts += [texts[0], "", "a b"]
+    frame = spark.createDataFrame([*enumerate(texts), *enumerate(texts[:30])], "doc_id long, text string")
+    for n, percent in ((3, 90), (1, 80)):
+        sets = [frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if (w := t.split()) else frozenset() for t in texts]
+        distinct = set(sets)
+        want = [sum(a != b and 100 * len(a & b) >= percent * len(a | b) for b in distinct) for a in sets]
+        got = {r.doc_id: r.links for r in jaccard_join.jaccard_components(frame, n, percent).collect()}
+        assert max(want) > 20 and [got[i] for i in range(len(sets))] == want
+
+
 def test_decontamination(spark, sf):
     pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     windows = {}
