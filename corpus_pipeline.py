@@ -18,14 +18,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of five-word sets at 0.8 or more; rows without an id stay."""
-    from navlattice.llm.common import written
-    from navlattice.llm.jaccard_join import jaccard_components
+    """One row, one with the smallest id, of each group of five-word sets at 0.8 or more; rows of one id with unlike texts stay, and rows without an id."""
+    from navlattice.llm.jaccard_join import one_of_each
 
-    group = jaccard_components(docs, n=5, percent=80, count=False)
-    gone = written(group.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    return one_of_each(docs, n=5, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import textvec as tv
 from .common import blob, find, map_texts, mapped, put, shards, shared_dir, slices, totals, written
@@ -212,6 +213,17 @@ def _sized(n: int):
     return run
 
 
+def with_sets(documents: DataFrame, n: int, name: str) -> DataFrame:
+    """All rows and columns, and the digest of the row's set; null where that is empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            gram, at = shingle_sets(batch.column("text").cast(pa.string()).fill_null(""), n)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests(gram, at), mask=np.diff(at) == 0)], names=[*batch.schema.names, name])
+
+    return map_texts(documents, run, StructType([*documents.schema.fields, StructField(name, LongType())]))
+
+
 def _stars(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
     """For each of `count` nodes the smallest node that the links (a, b) reach."""
     top = np.arange(count)
@@ -654,8 +666,8 @@ def _chunks(rest: DataFrame, percent: int) -> DataFrame:
     return dealt.select(region.alias("region"), "node", "grams", "label").groupBy("region").applyInArrow(_join_region(percent), _LINK)
 
 
-def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90, count: bool = True) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id that links reach), class_id (smallest doc_id with the same set), links (how many other sets the row's set links with; not without `count`)."""
+def _join(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their sets' digests, the members of regions, and a spanning forest of the links."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # texts are read once for the rows and twice for the n-grams, which go straight into their shuffles
     rows = written(map_texts(docs, _sized(n), _ROW), "sets")
@@ -672,12 +684,31 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90, coun
     wanted.groupBy("shard").applyInArrow(_write_wanted(folder), "shard int").write.parquet(shared_dir(spark, "wanted-done"))
     members = written(map_texts(docs, _with_sets(n, Shards(folder, parts, 24), set(_done(spark, folder))), _MEMBER), "members")
     links = written(_links(members, percent), "links")
-    if not count:
-        return _result(rows, links, None)
+    return rows, members, links
+
+
+def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id that links reach), class_id (smallest doc_id with the same set), links (how many other sets the row's set links with)."""
+    rows, members, links = _join(documents, n, percent)
     return _result(rows, links, written(_degrees(members, percent), "degrees"))
 
 
-def _result(rows: DataFrame, links: DataFrame, degree: DataFrame | None) -> DataFrame:
+def one_of_each(documents: DataFrame, n: int, percent: int) -> DataFrame:
+    """One row of each group of sets that links connect, whatever the ids of the others: the one with the smallest id. Of rows without words only repeated ones (id and text) go; rows without an id stay."""
+    rows, _, links = _join(documents, n, percent)
+    classes = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+    classes = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = classes.groupBy("component").agg(F.min(F.struct("id", "node")).alias("first"), F.sum("n").alias("n")).where("n > 1")
+    groups = written(classes.select("node", "component").join(first, "component").select(F.col("node").alias("_set"), F.col("first.id").alias("_id"), F.col("first.node").alias("_first")), "groups")
+    known, words, own = F.col("doc_id").isNotNull(), F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"), documents.columns
+    alone = with_sets(documents.where(known & words), n, "_set").join(groups, "_set", "left_anti").select(own)
+    ids = groups.select(F.col("_id").alias("doc_id")).distinct()
+    first = with_sets(documents.where(words).join(ids, "doc_id", "left_semi"), n, "_set").join(groups, "_set").where((F.col("_set") == F.col("_first")) & (F.col("doc_id") == F.col("_id")))
+    wordless = documents.where(known & ~words).dropDuplicates(["doc_id", "text"])
+    return alone.unionByName(first.dropDuplicates(["_set"]).select(own)).unionByName(wordless).unionByName(documents.where(~known))
+
+
+def _result(rows: DataFrame, links: DataFrame, degree: DataFrame) -> DataFrame:
     # rows that share a doc_id share their component
     again = rows.where("node is not null and doc_id is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("a", "b")
     label = components(links.unionByName(again))
@@ -687,8 +718,6 @@ def _result(rows: DataFrame, links: DataFrame, degree: DataFrame | None) -> Data
     label = label.join(least, "component").drop("component")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     out = rows.join(label, "node", "left").select("node", "doc_id", "n_shingles", own.alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
-    if degree is None:
-        return out.drop("node")
     return out.join(degree, "node", "left").select("doc_id", "n_shingles", "component_id", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
 
 

@@ -338,6 +338,18 @@ def test_pipeline(spark, sf):
     check_packing(corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect(), {r.doc_id: r.text for r in docs.collect()})
 
 
+def test_near_duplicates_decides_by_row(spark):
+    """Rows of one id with unlike texts stay; copies and repeated rows go, whatever their ids."""
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (1, ""), (1, ""), (2, a + " more"), (3, c), (3, c), (4, b), (4, "x y"), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, a), (1, b), (1, ""), (3, c), (4, "x y"), (5, None)], key=str)
+
+
 def test_op4_heavy_regions_stay_exact(spark, monkeypatch):
     """Groups far over a task's weight: pivots, labels, cells and chunks against all pairs."""
     import random
