@@ -18,7 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row, one with the smallest id, of each group of five-word sets at 0.8 or more; rows of one id with unlike texts stay, and rows without an id."""
+    """One row, one with the smallest id, of each group of five-word sets at 0.8 or more; rows of one id with unlike texts stay; rows without an id are judged like others and come last."""
     from navlattice.llm.jaccard_join import one_of_each
 
     return one_of_each(docs, n=5, percent=80)

@@ -33,8 +33,9 @@ Memory is bounded by WEIGHT; no candidate is capped or left out.
 
 Defined cases: null or word-less texts have empty sets and link with nothing;
 a text with fewer words than n is one n-gram of its own length; repeated rows
-with one doc_id stay rows, and their sets are linked through the id; a null
-doc_id comes back with a null component; other columns are ignored.
+with one doc_id stay rows, and their sets are linked through the id; rows with
+a null doc_id link like others, come back with a null component and give no
+component or class its id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -324,9 +325,10 @@ _DEGREE = "node long, links long"
 def _write_wanted(folder: str):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         """Writes one shard's nodes, in order, with the row that stands for each and its region."""
-        node, doc, region = (table.column(x).to_numpy() for x in ("node", "doc_id", "region"))
+        node, region = (table.column(x).to_numpy() for x in ("node", "region"))
+        doc = table.column("doc_id")
         order = np.argsort(node.view(U64))
-        put(f"{folder}/{key[0].as_py()}", [node[order], doc[order], region[order]])
+        put(f"{folder}/{key[0].as_py()}", [node[order], doc.fill_null(0).to_numpy()[order], doc.is_valid().to_numpy().astype(np.int64)[order], region[order]])
         return pa.table({"shard": pa.array([key[0].as_py()], pa.int32())})
 
     return run
@@ -336,6 +338,7 @@ def _with_sets(n: int, wanted: Shards, present: set[int]):
     """The sets of the rows that stand for wanted nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in slices(batches):
             gram, at = shingle_sets(batch.column("text"), n)
             digest = digests(gram, at)
@@ -346,12 +349,13 @@ def _with_sets(n: int, wanted: Shards, present: set[int]):
                 if p not in present:
                     continue
                 keys, rest = wanted.open(p)
-                rest = rest.view(np.int64).reshape(2, -1)
+                rest = rest.view(np.int64).reshape(3, -1)
                 mine = np.flatnonzero((shard == p) & (np.diff(at) > 0))
                 for i, k in zip(mine.tolist(), find(keys, digest[mine].view(U64)).tolist(), strict=True):
-                    if k >= 0 and rest[0, k] == doc[i]:
+                    if k >= 0 and (rest[0, k] if rest[1, k] else None) == doc[i] and int(digest[i]) not in met:
+                        met.add(int(digest[i]))
                         keep.append(i)
-                        regions.append(int(rest[1, k]))
+                        regions.append(int(rest[2, k]))
             yield pa.RecordBatch.from_arrays([pa.array(regions, pa.int64()), pa.array(digest[keep]), pa.array([blob(gram[at[i] : at[i + 1]]) for i in keep], pa.binary()), pa.nulls(len(keep), pa.int64())], names=["region", "node", "grams", "label"])
 
     return run
@@ -678,11 +682,11 @@ def _join(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     map_texts(docs, _count_grams(n, parts), _COUNTS).groupBy("shard").applyInArrow(_write_counts(folder), "shard int").write.parquet(shared_dir(spark, "gram-counts-done"))
     near = map_texts(docs, _signed(n, percent, parts, Shards(folder, parts, 9)), _BLOCK).groupBy("shard").applyInArrow(_shared_keys, _LINK)
     region = components(near)
-    texts = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    texts = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = region.join(texts, "node").select("doc_id", "node", F.col("component").alias("region"), F.pmod("node", F.lit(parts)).cast("int").alias("shard"))
     folder = shared_dir(spark, "wanted")
     wanted.groupBy("shard").applyInArrow(_write_wanted(folder), "shard int").write.parquet(shared_dir(spark, "wanted-done"))
-    members = written(map_texts(docs, _with_sets(n, Shards(folder, parts, 24), set(_done(spark, folder))), _MEMBER), "members")
+    members = written(map_texts(docs, _with_sets(n, Shards(folder, parts, 32), set(_done(spark, folder))), _MEMBER), "members")
     links = written(_links(members, percent), "links")
     return rows, members, links
 
@@ -694,18 +698,20 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
 
 
 def one_of_each(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """One row of each group of sets that links connect, whatever the ids of the others: the one with the smallest id. Of rows without words only repeated ones (id and text) go; rows without an id stay."""
+    """One row of each group of sets that links connect, whatever their ids: one with the smallest id, or without one where none has any. Of rows without words only repeated ones (id and text) go."""
     rows, _, links = _join(documents, n, percent)
-    classes = rows.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+    classes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
     classes = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    first = classes.groupBy("component").agg(F.min(F.struct("id", "node")).alias("first"), F.sum("n").alias("n")).where("n > 1")
+    first = classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first"), F.sum("n").alias("n")).where("n > 1")
     groups = written(classes.select("node", "component").join(first, "component").select(F.col("node").alias("_set"), F.col("first.id").alias("_id"), F.col("first.node").alias("_first")), "groups")
-    known, words, own = F.col("doc_id").isNotNull(), F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"), documents.columns
-    alone = with_sets(documents.where(known & words), n, "_set").join(groups, "_set", "left_anti").select(own)
-    ids = groups.select(F.col("_id").alias("doc_id")).distinct()
-    first = with_sets(documents.where(words).join(ids, "doc_id", "left_semi"), n, "_set").join(groups, "_set").where((F.col("_set") == F.col("_first")) & (F.col("doc_id") == F.col("_id")))
-    wordless = documents.where(known & ~words).dropDuplicates(["doc_id", "text"])
-    return alone.unionByName(first.dropDuplicates(["_set"]).select(own)).unionByName(wordless).unionByName(documents.where(~known))
+    words, own = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"), documents.columns
+    alone = with_sets(documents.where(words), n, "_set").join(groups, "_set", "left_anti").select(own)
+    ids = groups.where("_id is not null").select(F.col("_id").alias("doc_id")).distinct()
+    able = documents.where(words).join(ids, "doc_id", "left_semi").select(own).unionByName(documents.where(words & F.col("doc_id").isNull()))
+    first = with_sets(able, n, "_set").join(groups, "_set").where((F.col("_set") == F.col("_first")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    known = F.col("doc_id").isNotNull()
+    wordless = documents.where(~words & known).dropDuplicates(["doc_id", "text"]).unionByName(documents.where(~words & ~known))
+    return alone.unionByName(first.dropDuplicates(["_set"]).select(own)).unionByName(wordless)
 
 
 def _result(rows: DataFrame, links: DataFrame, degree: DataFrame) -> DataFrame:

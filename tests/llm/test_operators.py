@@ -350,6 +350,20 @@ def test_near_duplicates_decides_by_row(spark):
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, a), (1, b), (1, ""), (3, c), (4, "x y"), (5, None)], key=str)
 
 
+def test_near_duplicates_without_ids(spark):
+    """Copies among rows without an id, and of a row with one, go; links count their sets."""
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(None, a), (0, a + " more"), (None, b), (None, b), (None, b + " more"), (None, c)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert [r.text for r in got if r.doc_id == 0] == [a + " more"]
+    assert sorted(r.text[0] for r in got) == ["a", "b", "c"]
+    links = jaccard_join.jaccard_components(docs, 5, 80).collect()
+    assert sorted((r.doc_id is None, r.component_id, r.links) for r in links if r.links) == [(False, 0, 1)] + [(True, None, 1)] * 4
+
+
 def test_op4_heavy_regions_stay_exact(spark, monkeypatch):
     """Groups far over a task's weight: pivots, labels, cells and chunks against all pairs."""
     import random
