@@ -6,8 +6,10 @@ identity; its Cholesky factor is computed once.  The score is the posterior of
 class 1 from the difference of the two log densities (Mahalanobis terms and
 log determinants) and the log prior.
 
-Training sums are aggregates of Spark over all labelled training rows; only
-they (one row a class) reach the driver.
+Texts are measured once, into a narrow table of ids and statistics; only that
+table meets the labels, so no text is shuffled at any size.  Training sums are
+aggregates of Spark over all labelled training rows; only they (one row a
+class) reach the driver.
 
 Defined cases: null and empty texts have the statistics of no characters and
 are scored like others; a null label is not learned; a document with several
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .chars import points, tables
-from .common import held_out, map_texts, slices
+from .common import held_out, map_texts, slices, written
 
 #: Shares of the pooled covariance and of the scaled identity.
 POOLED, IDENTITY, THRESHOLD = 0.3, 0.02, 0.3
@@ -85,8 +87,16 @@ def statistics(documents: DataFrame) -> DataFrame:
     return map_texts(docs, _measure, "doc_id long, x array<double>")
 
 
+def _solved(factor: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Forward substitution: the rows of x by a lower triangular factor."""
+    z = np.empty((len(factor), len(x)))
+    for i, row in enumerate(factor):
+        z[i] = (x[:, i] - row[:i] @ z[:i]) / row[i]
+    return z
+
+
 class Discriminant:
-    """Class means, cached inverse Cholesky factors and log determinants."""
+    """Class means, cached Cholesky factors and log determinants."""
 
     def __init__(self, sums: dict[int, tuple[int, np.ndarray, np.ndarray]], pooled: float = POOLED, identity: float = IDENTITY):
         self.prior = {c: s[0] for c, s in sums.items() if s[0]}
@@ -94,22 +104,22 @@ class Discriminant:
         total = sum(self.prior.values())
         scatter = {c: sums[c][2] - np.outer(sums[c][1], sums[c][1]) / sums[c][0] for c in self.prior}
         all_ = sum(scatter.values()) / max(total, 1) if scatter else None
-        scale = np.sqrt(np.maximum(np.diag(all_), 1e-9)) if scatter else None
+        self.scale = np.sqrt(np.maximum(np.diag(all_), 1e-9)) if scatter else None
         for c, n in self.prior.items():
             own = scatter[c] / n
-            cov = ((1 - pooled) * own + pooled * all_) / np.outer(scale, scale)
+            cov = ((1 - pooled) * own + pooled * all_) / np.outer(self.scale, self.scale)
             cov = (1 - identity) * cov + identity * np.eye(len(cov)) * max(np.trace(cov) / len(cov), 1e-9)
             factor = np.linalg.cholesky(cov)
-            self.parts[c] = (sums[c][1] / n, np.linalg.inv(factor) / scale, 2 * np.log(np.diag(factor)).sum())
+            self.parts[c] = (sums[c][1] / n, factor, 2 * np.log(np.diag(factor)).sum())
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Posterior of class 1 for each row."""
         if len(self.parts) < 2:
             return np.full(len(x), float(next(iter(self.parts))) if self.parts else 0.5)
         log = {}
-        for c, (mean, whiten, determinant) in self.parts.items():
-            z = (x - mean) @ whiten.T
-            log[c] = np.log(self.prior[c]) - 0.5 * ((z * z).sum(1) + determinant)
+        for c, (mean, factor, determinant) in self.parts.items():
+            z = _solved(factor, (x - mean) / self.scale)
+            log[c] = np.log(self.prior[c]) - 0.5 * ((z * z).sum(0) + determinant)
         return 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
 
 
@@ -129,32 +139,30 @@ def fit(labelled: DataFrame) -> Discriminant:
     return Discriminant(sums)
 
 
-def train(documents: DataFrame, labels: DataFrame, folds: int = 5) -> Discriminant:
-    """Learns from all labelled documents outside fold 0."""
-    key = F.col("doc_id").cast("long").alias("doc_id")
-    labels = labels.select(key, "quality").where(~held_out(F.col("doc_id"), folds) & F.col("quality").isNotNull())
-    docs = documents.select(key, "text").where(~held_out(F.col("doc_id"), folds))
-    return fit(statistics(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")).join(labels, "doc_id"))
+def train(measured: DataFrame, labels: DataFrame, folds: int = 5) -> Discriminant:
+    """Learns from all labelled rows of `measured` (doc_id, x) outside fold 0."""
+    labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").where(~held_out(F.col("doc_id"), folds) & F.col("quality").isNotNull())
+    return fit(measured.join(labels, "doc_id"))
 
 
-def score(documents: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, score, predicted."""
+def score(measured: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
+    """Per row of `measured` (doc_id, x): doc_id, score, predicted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _measure(batches):
+        for batch in batches:
             if len(batch):
-                x = np.array(batch.column("x").to_pylist())
+                x = batch.column("x").flatten().to_numpy().reshape(len(batch), -1)
                 s = model.score(x)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_texts(docs, run, "doc_id long, score double, predicted int")
+    return measured.mapInArrow(run, "doc_id long, score double, predicted int")
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    model = train(documents, labels, folds)
-    return score(documents, model).select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), "score", "predicted")
+    measured = written(statistics(documents), "statistics")
+    model = train(measured, labels, folds)
+    return score(measured, model).select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), "score", "predicted")
 
 
 def keep(documents: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
