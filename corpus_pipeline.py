@@ -12,9 +12,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    from navlattice.llm.quality import keep, train
+    from navlattice.llm.common import written
+    from navlattice.llm.quality import keep, statistics, train
 
-    return keep(docs, train(docs, _table(spark, sf_dir, "labels")))
+    return keep(docs, train(written(statistics(docs), "statistics"), _table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
