@@ -214,17 +214,6 @@ def _sized(n: int):
     return run
 
 
-def with_sets(documents: DataFrame, n: int, name: str) -> DataFrame:
-    """All rows and columns, and the digest of the row's set; null where that is empty."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            gram, at = shingle_sets(batch.column("text").cast(pa.string()).fill_null(""), n)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests(gram, at), mask=np.diff(at) == 0)], names=[*batch.schema.names, name])
-
-    return map_texts(documents, run, StructType([*documents.schema.fields, StructField(name, LongType())]))
-
-
 def _stars(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
     """For each of `count` nodes the smallest node that the links (a, b) reach."""
     top = np.arange(count)
@@ -310,8 +299,8 @@ def _shared_keys(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(s[far]), "b": pa.array(s[top[far]])})
 
 
-#: N-grams of one shard.
-KEYS = 3_000_000
+#: N-grams, or sets, of one shard.
+KEYS, SETS = 3_000_000, 1_000_000
 _ROW = "doc_id long, n_shingles long, node long"
 _BLOCK = "shard int, nodes binary, counts binary, keys binary"
 _COUNTS = "shard int, counts binary, keys binary"
@@ -697,21 +686,75 @@ def jaccard_components(documents: DataFrame, n: int = 3, percent: int = 90) -> D
     return _result(rows, links, written(_degrees(members, percent), "degrees"))
 
 
+def _write_kept(folder: str):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """Writes one shard's sets of groups, in order: the set, the id of the row that stays (and whether it has one), and the state."""
+        node = table.column("node").to_numpy()
+        order = np.argsort(node.view(U64))
+        doc, state = table.column("id"), table.column("state").to_numpy()
+        put(f"{folder}/{key[0].as_py()}", [node[order], doc.fill_null(0).to_numpy()[order], doc.is_valid().to_numpy().astype(np.int64)[order], state[order]])
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32())})
+
+    return run
+
+
+#: States of a set that is in a group: all its rows go, one row stays, one of several equal rows stays.
+GONE, STAYS, REPEATED = 0, 1, 2
+
+
+def _kept_rows(n: int, kept: Shards, present: set[int], repeated: bool):
+    """The rows that stay: those of no group and a group's only one, or else (repeated) the equal rows of which one stays, with their set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            gram, at = shingle_sets(batch.column("text").cast(pa.string()).fill_null(""), n)
+            digest, doc = digests(gram, at), batch.column("doc_id").cast(pa.int64())
+            known, doc = doc.is_valid().to_numpy(zero_copy_only=False), doc.fill_null(0).to_numpy()
+            stays = np.full(len(digest), not repeated)
+            shard = digest % kept.parts
+            for p in np.unique(shard).tolist():
+                if p in present:
+                    keys, rest = kept.open(p)
+                    rest = rest.view(np.int64).reshape(3, -1)
+                    mine = np.flatnonzero(shard == p)
+                    k = find(keys, digest[mine].view(U64))
+                    mine, k = mine[k >= 0], k[k >= 0]
+                    own = (rest[1, k] == known[mine]) & (rest[0, k] == doc[mine])
+                    stays[mine] = own & (rest[2, k] == (REPEATED if repeated else STAYS))
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest)], names=[*batch.schema.names, "_set"]) if repeated else batch
+            yield out.filter(pa.array(stays))
+
+    return run
+
+
 def one_of_each(documents: DataFrame, n: int, percent: int) -> DataFrame:
-    """One row of each group of sets that links connect, whatever their ids: one with the smallest id, or without one where none has any. Of rows without words only repeated ones (id and text) go."""
+    """One row of each group of sets that links connect, whatever their ids: one with the smallest id, or without one where none has any.
+
+    Groups are decided on ids and digests alone and kept as sorted arrays that
+    workers map, so rows are filtered where they are read; only equal rows (one
+    id, one set) that stand first in their group meet in a shuffle.  Of rows
+    without words only repeated ones (id and text) go.
+    """
     rows, _, links = _join(documents, n, percent)
-    classes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+    spark, own = documents.sparkSession, documents.columns
+    classes = rows.where("node is not null").groupBy("node", "doc_id").count()
+    classes = classes.groupBy("node").agg(F.min("doc_id").alias("id"), F.sum("count").alias("n"), F.min_by("count", F.coalesce("doc_id", F.lit(2**63 - 1))).alias("equal"))
     classes = classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     first = classes.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first"), F.sum("n").alias("n")).where("n > 1")
-    groups = written(classes.select("node", "component").join(first, "component").select(F.col("node").alias("_set"), F.col("first.id").alias("_id"), F.col("first.node").alias("_first")), "groups")
-    words, own = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"), documents.columns
-    alone = with_sets(documents.where(words), n, "_set").join(groups, "_set", "left_anti").select(own)
-    ids = groups.where("_id is not null").select(F.col("_id").alias("doc_id")).distinct()
-    able = documents.where(words).join(ids, "doc_id", "left_semi").select(own).unionByName(documents.where(words & F.col("doc_id").isNull()))
-    first = with_sets(able, n, "_set").join(groups, "_set").where((F.col("_set") == F.col("_first")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    state = F.when(F.col("node") != F.col("first.node"), GONE).when(F.col("equal") == 1, STAYS).otherwise(REPEATED).cast("long")
+    parts = max(shards(spark), (rows.count() // SETS) + 1)
+    groups = written(classes.drop("n").join(first, "component").select("node", "id", state.alias("state"), F.pmod("node", F.lit(parts)).cast("int").alias("shard")), "groups")
+    folder = shared_dir(spark, "kept")
+    groups.groupBy("shard").applyInArrow(_write_kept(folder), "shard int").write.parquet(shared_dir(spark, "kept-done"))
+    kept, present = Shards(folder, parts, 32), set(_done(spark, folder))
+    worded = documents.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    wordless = documents.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     known = F.col("doc_id").isNotNull()
-    wordless = documents.where(~words & known).dropDuplicates(["doc_id", "text"]).unionByName(documents.where(~words & ~known))
-    return alone.unionByName(first.dropDuplicates(["_set"]).select(own)).unionByName(wordless)
+    out = map_texts(worded, _kept_rows(n, kept, present, False), documents.schema)
+    if groups.where(F.col("state") == REPEATED).head(1):
+        again = map_texts(worded, _kept_rows(n, kept, present, True), StructType([*documents.schema.fields, StructField("_set", LongType())]))
+        out = out.unionByName(again.dropDuplicates(["_set"]).select(own))
+    return out.unionByName(wordless.where(known).dropDuplicates(["doc_id", "text"])).unionByName(wordless.where(~known))
 
 
 def _result(rows: DataFrame, links: DataFrame, degree: DataFrame) -> DataFrame:
