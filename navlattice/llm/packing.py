@@ -8,9 +8,14 @@ The counts live in one array over levels.  Placing x at level f changes the
 sum by -2*N[f]+1 at f and 2*N[f+x]+1 at f+x, so the choice is one vectorised
 minimum over the levels.
 
-A task's windows that are still open at its end are closed by cutting: their
-pieces, in order, run on into full windows, and what is left is cut into
-windows of powers of two, which need no padding.
+A task's windows that are still open at its end stay as the rule placed them,
+the fullest first; the room left in each is filled with pieces cut from the
+emptiest, which are the only ones to be taken apart.  What is left of the last
+one is cut into windows of powers of two, so nothing is padded.
+
+Texts are cut before spaces that follow no white space, where the tokenizer's
+own pre-tokens end in any case, and a worker encodes each distinct piece once
+and remembers it: the ids are those of the whole text.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are
 packed each for itself; a null doc_id stays null; other columns are ignored.
@@ -19,9 +24,12 @@ The result is written: sequence ids belong to one run of each task.
 
 from __future__ import annotations
 
+import re
 import zlib
+from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +42,8 @@ from .common import map_texts, slices, written
 WINDOW, END = 2048, 1
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
-#: Open windows of a task; at this many the oldest are closed early.
-OPEN = 20_000
+#: Distinct pieces that a worker remembers, and the characters of the longest of them.
+KNOWN, LONGEST = 1_000_000, 64
 
 
 @lru_cache(1)
@@ -48,6 +56,94 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class Encoder:
+    """Ids of texts, as the tokenizer gives them for whole texts, from the ids of pieces."""
+
+    def __init__(self, path: str, end: int):
+        coder = tokenizer(path)
+        self.encode, self.end = coder.encode_batch_fast, end
+        # bytes of every token: a byte-level token has a character for each of its bytes
+        special = {i: len(t.content.encode()) for i, t in coder.get_added_tokens_decoder().items()}
+        sizes = {i: len(t) for t, i in coder.get_vocab().items()} | special
+        self.size = np.zeros(max(sizes) + 1, np.int64)
+        self.size[list(sizes)] = list(sizes.values())
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.at, self.n = np.zeros(1 << 16, "<u4"), np.zeros(1 << 12, np.int64), 0
+
+    def learn(self, pieces: dict[str, None], edges: set[str]) -> None:
+        # pieces that begin with a space and end without one stay apart when they stand one after the other; others are at the edges of texts
+        apart = [x for x in edges if x in pieces and (x[0] != " " or x[-1].isspace())]
+        for x in apart:
+            del pieces[x]
+        pieces = list(pieces)
+        runs = [pieces[i : i + JOIN] for i in range(0, len(pieces), JOIN)]
+        coded = self.encode(["".join(r) for r in runs] + apart, add_special_tokens=False)
+        for run, code in zip([*runs, *([x] for x in apart)], coded, strict=True):
+            ids = np.array(code.ids, "<u4")
+            ends = np.cumsum(self.size[ids])
+            bytes_ = np.cumsum([len(x.encode()) for x in run])
+            cut = np.searchsorted(ends, bytes_)
+            if not len(ids) or ends[-1] != bytes_[-1] or (ends[cut] != bytes_).any():
+                raise ValueError("the tokenizer's pieces are not those of the text")
+            self.keep(run, ids, cut + 1)
+
+    def keep(self, run: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        at, n = int(self.at[self.n]), self.n + len(run)
+        if at + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(ids), len(self.ids)), "<u4")])
+        if n >= len(self.at):
+            self.at = np.concatenate([self.at, np.zeros(max(len(run), len(self.at)), np.int64)])
+        self.ids[at : at + len(ids)] = ids
+        self.at[self.n + 1 : n + 1] = at + ends
+        self.number.update(zip(run, range(self.n, n), strict=True))
+        self.n = n
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text and the end after them."""
+        if self.n > KNOWN:
+            self.forget()
+        parts = [_pieces(t) for t in texts]
+        flat = list(chain.from_iterable(parts))
+        number = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(number < 0).tolist()
+        if new:
+            met = dict.fromkeys(map(flat.__getitem__, new))
+            self.learn(met.copy(), {x for p in parts if p for x in (p[0], p[-1])})
+            number[new] = list(map(self.number.__getitem__, map(flat.__getitem__, new)))
+            for x in [x for x in met if len(x) > LONGEST]:
+                del self.number[x]
+        begin, size = self.at[number], self.at[number + 1] - self.at[number]
+        end = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.arange(end[-1]) + np.repeat(begin - end[:-1], size)]
+        stop = end[np.cumsum([0, *map(len, parts)])].tolist()
+        last = np.array([self.end], "<u4")
+        return [np.concatenate([ids[a:z], last]) for a, z in zip(stop[:-1], stop[1:], strict=True)]
+
+
+@lru_cache(1)
+def encoder(path: str, end: int) -> Encoder:
+    return Encoder(path, end)
+
+
+#: Pieces that are encoded as one text.
+JOIN = 4096
+#: A space after white space, of whatever kind.
+_SPACES = [c + " " for c in map(chr, range(0x10000)) if c.isspace()]
+_CUT = re.compile(r"(?<=\S)(?= )")
+
+
+def _pieces(text: str) -> list[str]:
+    """A text cut before each space that follows no white space."""
+    if not text:
+        return []
+    if text[0] == " " or "\0" in text or any(x in text for x in _SPACES):
+        return _CUT.split(text)
+    return text.replace(" ", "\0 ").split("\0")
+
+
 class Packer:
     """Windows of one task: places rests, hands out sequence numbers."""
 
@@ -55,7 +151,6 @@ class Packer:
         self.window, self.next = window, first_sequence
         self.level = np.zeros(window + 1, np.int64)
         self.open: list[list[list]] = [[] for _ in range(window + 1)]
-        self.n_open = 0
 
     def sequence(self) -> int:
         self.next += 1
@@ -77,7 +172,6 @@ class Packer:
         if f:
             pieces = self.open[f].pop()
             self.level[f] -= 1
-            self.n_open -= 1
         else:
             pieces = []
         pieces.append(piece)
@@ -85,7 +179,6 @@ class Packer:
             return self.place(pieces)
         self.open[f + x].append(pieces)
         self.level[f + x] += 1
-        self.n_open += 1
         return []
 
     def place(self, pieces: list[tuple]) -> list[tuple]:
@@ -96,25 +189,45 @@ class Packer:
         return out
 
     def close(self) -> list[tuple]:
-        """Cuts the open windows into full ones, and the rest into powers of two."""
-        pieces = [p for level in reversed(self.open) for window in level for p in window]
-        left = sum(len(p[2]) for p in pieces)
-        out, now, room = [], [], 0
-        for doc, start, ids, total in pieces:
-            while len(ids):
-                if not room:
-                    room = self.window if left >= self.window else 1 << (left.bit_length() - 1)
-                k = min(room, len(ids))
-                now.append((doc, start, ids[:k], total))
-                start, ids, room, left = start + k, ids[k:], room - k, left - k
-                if not room:
-                    out += self.place(now)
-                    now = []
+        """The open windows, filled with pieces of the emptiest ones; the last rest in powers of two."""
+        windows = [(level, pieces) for level in range(self.window, 0, -1) for pieces in self.open[level]]
         self.level[:] = 0
         self.open = [[] for _ in range(self.window + 1)]
-        self.n_open = 0
+        out, givers = [], deque()
+        i, j = 0, len(windows) - 1
+        while i < j or givers and i <= j:
+            level, pieces = windows[i]
+            while level < self.window and (givers or i < j):
+                if not givers:
+                    givers.extend(windows[j][1])
+                    j -= 1
+                level += self.take(givers, pieces, self.window - level)
+            if level < self.window:
+                break
+            out += self.place(pieces)
+            i += 1
+        if i <= j:
+            givers.extendleft(reversed(windows[i][1]))
+        left = sum(len(p[2]) for p in givers)
+        while left:
+            now: list[tuple] = []
+            size = min(self.window, 1 << (left.bit_length() - 1))
+            while size:
+                taken = self.take(givers, now, size)
+                size, left = size - taken, left - taken
+            out += self.place(now)
         return out
 
+    @staticmethod
+    def take(givers: deque, pieces: list, room: int) -> int:
+        """Moves the first piece of givers, or as much of it as there is room for; returns how much."""
+        doc, start, ids, total = givers.popleft()
+        k = min(room, len(ids))
+        pieces.append((doc, start, ids[:k], total))
+        if k < len(ids):
+            givers.appendleft((doc, start + k, ids[k:], total))
+        return k
+
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_NAMES)
@@ -123,20 +236,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _pack(path: str, end: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode_batch_fast
+        encode = encoder(path, end)
         packer = Packer(TaskContext.get().partitionId() << 40, window)
         for batch in slices(batches, limit=1 << 20):
             rows: list[tuple] = []
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc, coded in zip(batch.column("doc_id").to_pylist(), encode(texts, add_special_tokens=False), strict=True):
-                ids = np.array([*coded.ids, end], dtype="<u4")
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode([t or "" for t in batch.column("text").to_pylist()]), strict=True):
                 whole = len(ids) // window * window
                 for a in range(0, whole, window):
                     rows += packer.place([(doc, a, ids[a : a + window], len(ids))])
                 if whole < len(ids):
-                    rows += packer.add((doc, whole, ids[whole:], len(ids)))
-                if packer.n_open > OPEN:
-                    rows += packer.close()
+                    rows += packer.add((doc, whole, ids[whole:].copy(), len(ids)))
             yield _batch(rows)
         yield _batch(packer.close())
 

@@ -253,6 +253,46 @@ def test_packing_rule():
         p.add((step, 0, __import__("numpy").zeros(x, "<u4"), x))
 
 
+def test_packing_ids_of_pieces(monkeypatch):
+    """Ids from pieces are the ids of the whole texts, at any white space, and with a memory that is too small."""
+    import random
+
+    random.seed(1)
+    coder = packing.tokenizer(packing.default_tokenizer())
+    parts = [" ", " ", "  ", "\n", "\t", "a", "B1", "é", "漢", "\x1c", "\x85", "\xa0", "'s", "'", "12", "..", "\0", "\u3000", "<|endoftext|>", "👍🏽", "\r\n", "x" * 70]
+    texts = ["".join(random.choice(parts) for _ in range(random.randrange(40))) for _ in range(3000)]
+    for known in (packing.KNOWN, 50):
+        monkeypatch.setattr(packing, "KNOWN", known)
+        encode = packing.Encoder(packing.default_tokenizer(), 1)
+        got = [ids for i in range(0, len(texts), 100) for ids in encode(texts[i : i + 100])]
+        assert [x.tolist() for x in got] == [[*coder.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+
+
+def test_packing_closes_windows_as_placed():
+    """Only the emptiest open windows are cut; the others keep what the rule placed, and nothing is padded."""
+    import random
+
+    import numpy as np
+
+    random.seed(3)
+    p = packing.Packer(0, 64)
+    for i in range(200):
+        x = random.randint(1, 63)
+        p.add((i, 0, np.full(x, i, "<u4"), x))
+    windows = [w for level in p.open for w in level]
+    whole = sorted(windows, key=lambda w: -sum(len(x[2]) for x in w))
+    total = sum(len(x[2]) for w in windows for x in w)
+    rows = p.close()
+    by_sequence = {}
+    for doc, start, n, _, _, sequence, offset in rows:
+        by_sequence.setdefault(sequence, []).append((doc, start, n, offset))
+    sizes = [sum(r[2] for r in rows_) for rows_ in by_sequence.values()]
+    assert sum(sizes) == total and all(s == 64 or s & (s - 1) == 0 for s in sizes)
+    assert sizes.count(64) == total // 64 and len(sizes) - sizes.count(64) == bin(total % 64).count("1")
+    for placed, got in zip(whole[: total // 64], by_sequence.values()):
+        assert [(x[0], len(x[2])) for x in placed] == [(d, n) for d, _, n, _ in got][: len(placed)]
+
+
 def test_warc(spark, sf):
     first, want = {}, {}
     pages = {r.page_id: (r.html or "").encode() for r in table(spark, sf, "pages").collect()}
