@@ -26,17 +26,32 @@ def in_polygons(x: Column, y: Column, polygons: Column) -> Column:
     return F.exists(polygons, lambda p: in_ring(x, y, F.get(p, F.lit(0))) & ~F.exists(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), lambda hole: in_ring(x, y, hole)))
 
 
+def ring_area(ring: Column) -> Column:
+    """Twice the signed area of a closed ring, halved: positive where it runs counter-clockwise."""
+    pairs = F.sequence(F.lit(0), F.greatest(F.size(ring) - 2, F.lit(0)))
+    cross = lambda i: F.get(ring, i)["x"] * F.get(ring, i + 1)["y"] - F.get(ring, i + 1)["x"] * F.get(ring, i)["y"]
+    return F.when(F.size(ring) < 2, 0.0).otherwise(F.aggregate(pairs, F.lit(0.0), lambda acc, i: acc + cross(i)) / 2)
+
+
+def outer_area(polygons: Column) -> Column:
+    """The sum of the areas of the outer rings."""
+    return F.aggregate(polygons, F.lit(0.0), lambda acc, p: acc + F.abs(ring_area(F.get(p, F.lit(0)))))
+
+
 def places_of(points: DataFrame, places: DataFrame, key: str) -> DataFrame:
     """(key, ord) of the place each point lies in: a country before a sea, the first country, the smallest sea.
 
-    places: ord, kind, area, minx, miny, maxx, maxy, polygons.  Both sides meet
-    on one-degree tiles, so no pair outside a place's box is made.
+    places: ord, kind, area, minx, miny, maxx, maxy, polygons.  Points meet the
+    boxes on one-degree tiles, which carry numbers and bounds only; polygons
+    come in afterwards, once for each pair that a box leaves.
     """
     tile = lambda c: F.floor(c).cast("int")
-    tiled = places.select("*", F.explode(F.sequence(tile(F.col("minx")), tile(F.col("maxx")))).alias("tx")).select("*", F.explode(F.sequence(tile(F.col("miny")), tile(F.col("maxy")))).alias("ty"))
+    tiles = places.select("ord", "minx", "maxx", "miny", "maxy", F.explode(F.sequence(tile(F.col("minx")), tile(F.col("maxx")))).alias("tx"))
+    tiles = tiles.select("*", F.explode(F.sequence(tile(F.col("miny")), tile(F.col("maxy")))).alias("ty"))
     p = points.select(key, "lon", "lat", tile(F.col("lon")).alias("tx"), tile(F.col("lat")).alias("ty"))
-    found = p.join(tiled, ["tx", "ty"]).where(F.col("lon").between(F.col("minx"), F.col("maxx")) & F.col("lat").between(F.col("miny"), F.col("maxy"))).where(in_polygons(F.col("lon"), F.col("lat"), F.col("polygons")))
-    sea = F.col("kind") != "country"
+    near = p.join(tiles, ["tx", "ty"]).where(F.col("lon").between(F.col("minx"), F.col("maxx")) & F.col("lat").between(F.col("miny"), F.col("maxy"))).select(key, "lon", "lat", "ord")
+    found = near.join(places.select("ord", "kind", "area", "polygons"), "ord").where(in_polygons(F.col("lon"), F.col("lat"), F.col("polygons")))
+    sea = F.coalesce(F.col("kind") == "sea", F.lit(False))
     return found.groupBy(key).agg(F.min_by("ord", F.struct(sea, F.when(sea, F.col("area")).otherwise(0.0), F.col("ord"))).alias("ord"))
 
 

@@ -26,17 +26,21 @@ def jumps(positions: DataFrame) -> DataFrame:
 def unshared(jumps: DataFrame) -> DataFrame:
     """Without the jumps of addresses that two aircraft share: four or more whose ends lie in exactly two clusters, taken greedily in time order.
 
-    Only the ends of jumps are gathered, aircraft by aircraft; the fold stops
-    growing at a third cluster.
+    The greedy centres are found one after the other: the first end, the first
+    one far from it, the first one far from both.  Each is a minimum that is
+    aggregated before the shuffle, so no aircraft's ends are gathered.
     """
-    ends = F.sort_array(F.collect_list(F.struct(F.col("after.ts").alias("ts"), F.struct("before.lat", "before.lon").alias("b"), F.struct("after.lat", "after.lon").alias("a"))))
-    points = F.flatten(F.transform("ends", lambda e: F.array(e["b"], e["a"])))
-    empty = F.lit(None).cast("array<struct<lat: double, lon: double>>")
-    near = lambda acc, p: F.exists(acc, lambda c: haversine_nm(p["lat"], p["lon"], c["lat"], c["lon"]) <= CLUSTER_NM)
-    none = F.coalesce(empty, F.array().cast("array<struct<lat: double, lon: double>>"))
-    centres = F.aggregate(points, none, lambda acc, p: F.when((F.size(acc) > 2) | near(acc, p), acc).otherwise(F.concat(acc, F.array(p))))
-    shared = jumps.groupBy("icao24").agg(F.count("*").alias("n"), ends.alias("ends")).where(F.col("n") >= MIN_JUMPS_FOR_SHARED)
-    return jumps.join(shared.where(F.size(centres) == 2).select("icao24"), "icao24", "left_anti")
+    order = [F.col("after.ts").alias("ts"), F.col("before.lat").alias("lat0"), F.col("before.lon").alias("lon0"), F.col("after.lat").alias("lat1"), F.col("after.lon").alias("lon1")]
+    end = lambda i, side: F.struct(*order, F.lit(i).alias("side"), F.col(f"{side}.lat").alias("lat"), F.col(f"{side}.lon").alias("lon"))
+    many = jumps.groupBy("icao24").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_JUMPS_FOR_SHARED).select("icao24")
+    ends = jumps.join(many, "icao24", "left_semi").select("icao24", F.explode(F.array(end(0, "before"), end(1, "after"))).alias("e"))
+    far = lambda c: haversine_nm(F.col("e.lat"), F.col("e.lon"), F.col(f"{c}.lat"), F.col(f"{c}.lon")) > CLUSTER_NM
+    one = ends.groupBy("icao24").agg(F.min("e").alias("c1"))
+    away = ends.join(one, "icao24").where(far("c1"))
+    two = away.groupBy("icao24").agg(F.min("e").alias("c2"))
+    three = away.join(two, "icao24").where(far("c2")).select("icao24")
+    shared = two.join(three, "icao24", "left_anti")
+    return jumps.join(shared, "icao24", "left_anti")
 
 
 def sessions(jumps: DataFrame) -> DataFrame:
@@ -47,14 +51,19 @@ def sessions(jumps: DataFrame) -> DataFrame:
 
 
 def events(jumps: DataFrame) -> DataFrame:
-    """One row per session with its confidence: high, integrity_overlap or low."""
-    s = sessions(jumps).withColumns({"y": F.floor(F.col("after.lat") / CONVERGENCE_DEG), "x": F.floor(F.col("after.lon") / CONVERGENCE_DEG), "t": F.floor(F.unix_seconds("after.ts") / CONVERGENCE_WINDOW_S)})
+    return events_of(sessions(jumps))
+
+
+def events_of(numbered: DataFrame) -> DataFrame:
+    """One row per session of numbered jumps with its confidence: high, integrity_overlap or low."""
+    s = numbered.withColumns({"y": F.floor(F.col("after.lat") / CONVERGENCE_DEG), "x": F.floor(F.col("after.lon") / CONVERGENCE_DEG), "t": F.floor(F.unix_seconds("after.ts") / CONVERGENCE_WINDOW_S)})
     close = s.groupBy("y", "x", "t").agg((F.min("icao24") != F.max("icao24")).alias("converging"))
     s = s.join(close, ["y", "x", "t"])
     good = F.coalesce((F.col("before.nic") >= GOOD_NIC) & (F.col("after.nic") >= GOOD_NIC), F.lit(False))
     none = lambda p: F.coalesce(F.col(f"{p}.nic"), F.lit(0)) == 0
+    first = lambda c: F.min_by(c, F.struct("after.ts", "before.ts"))
     e = s.groupBy("icao24", "session").agg(
-        F.min("before.ts").alias("start"), F.max("after.ts").alias("end"), F.count("*").alias("jumps"), F.max("dist_nm").alias("max_dist_nm"), F.max("speed_kt").alias("max_speed_kt"),
+        F.min("before.ts").alias("start"), F.max("after.ts").alias("end"), F.count("*").alias("jumps"), F.max("dist_nm").alias("max_dist_nm"), F.max("speed_kt").alias("max_speed_kt"), first(F.struct("before.lat", "before.lon")).alias("origin"),
         F.bool_or(good | F.col("converging")).alias("high"), F.bool_and(none("before") | none("after")).alias("overlap"), F.bool_or(F.col("before.anonymous") | F.col("after.anonymous")).alias("anonymous"),
     )
     return e.withColumn("confidence", F.when(F.col("high"), "high").when(F.col("overlap"), "integrity_overlap").otherwise("low")).drop("high", "overlap")

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import grid
+from . import avionics, geo, rollup
+from .regions import Box
+
 KEYS = ["hour", "h3", "icao24"]
 
 
@@ -23,3 +27,25 @@ def transitions(before: DataFrame, after: DataFrame) -> DataFrame:
     b = before.select("h3", F.col("level").alias("before"))
     a = after.select("h3", F.col("level").alias("after"))
     return b.join(a, "h3", "left").groupBy("before", F.coalesce("after", F.lit("noData")).alias("after")).count()
+
+
+def keep_cells(hourly: DataFrame, cells: DataFrame) -> DataFrame:
+    """The rows of the rollup whose cell is listed."""
+    return hourly.join(cells.select("h3").distinct(), "h3", "left_semi")
+
+
+def inner_cells(hourly: DataFrame, box: Box) -> DataFrame:
+    """The rollup's cells that lie wholly in the box, shrunk by the margin."""
+    return hourly.select("h3").distinct().where(geo.inside(grid.boundary(F.col("h3"), 5), *box))
+
+
+def verify_day(stored: DataFrame, positions: DataFrame, box: Box) -> DataFrame:
+    """One row: the cells and rows compared inside the box, the differences from the rollup of the positions, and whether the faulty aircraft are the same."""
+    cells = inner_cells(stored, box)
+    again = rollup.rollup(positions)
+    found = compare(keep_cells(stored, cells), keep_cells(again, cells), [c for c in stored.columns if c not in KEYS])
+    mine, fresh = (avionics.verdicts(h).where("faulty").select("icao24") for h in (stored, again))
+    other = mine.join(fresh, "icao24", "left_anti").count() + fresh.join(mine, "icao24", "left_anti").count()
+    one = F.lit(1).alias("_one")
+    n = cells.agg(F.count("*").alias("cells_compared")).select("*", one)
+    return found.select("*", one).join(n, "_one").select("cells_compared", "only_stored", "only_recomputed", "different", "equal", F.lit(other == 0).alias("avionics_same"))

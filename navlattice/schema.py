@@ -18,7 +18,7 @@ MIN_PEERS, CLEAN_PEER_SHARE, MIN_CLEAN_BUCKETS, FAULTY_SHARE = 3, 0.2, 3, 0.8
 MIN_GAP_S, MAX_GAP_S, MIN_DIST_NM, MIN_SPEED_KT, EARTH_RADIUS_NM = 1, 120, 10, 1500, 3440.065
 CLUSTER_NM, MIN_JUMPS_FOR_SHARED, EVENT_GAP_S, GOOD_NIC, CONVERGENCE_DEG, CONVERGENCE_WINDOW_S = 30, 4, 600, 7, 2, 600
 MIN_EVENT_AIRCRAFT, SCALE_MEDIUM, SCALE_LARGE = 3, 10, 30
-MAX_DETAIL_AGE_S = 60
+MAX_DETAIL_AGE_S, MAX_CORRUPT_SHARE = 60, 0.01
 MAX_BAD_AIRCRAFT, MAX_CELL_AIRCRAFT, MAX_DETAIL_CELLS = 50, 100, 2000
 EDGE_MARGIN_DEG = 0.05
 RESOLUTIONS = (3, 4, 5)

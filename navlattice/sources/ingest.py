@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..schema import MAX_DETAIL_AGE_S, POSITIONS
-
+from ..schema import MAX_CORRUPT_SHARE, MAX_DETAIL_AGE_S, POSITIONS
 
 
 def traces(documents: DataFrame, column: str = "document") -> DataFrame:
@@ -45,20 +44,33 @@ def corrupt_share(documents: DataFrame, column: str = "document") -> DataFrame:
     return documents.agg(F.count("*").alias("documents"), bad.alias("corrupt"), F.coalesce(F.try_divide(bad, F.count("*")), F.lit(0.0)).alias("share"))
 
 
-def live(snapshots: DataFrame, column: str = "snapshot", now: str = "now") -> DataFrame:
-    """Aircraft of live snapshots with a position no older than a minute; now: column of epoch seconds."""
-    v = snapshots.select(F.col(now).cast("double").alias("now"), F.explode(F.try_variant_get(F.try_parse_json(column), "$.ac", "array<variant>")).alias("a"))
+def live(snapshots: DataFrame, column: str = "snapshot", now: str = "now", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Aircraft of live snapshots with a position no older than a minute; now: column of epoch seconds. With `keep`, these columns and `at`, the place in the answer, come along."""
+    doc = snapshots.select(*keep, F.col(now).cast("double").alias("now"), F.try_variant_get(F.try_parse_json(column), "$.ac", "array<variant>").alias("all"))
+    v = doc.select(*keep, "now", F.posexplode("all").alias("at", "a"))
     get = lambda name, kind: F.try_variant_get("a", f"$.{name}", kind)
     seen = F.coalesce(get("seen_pos", "double"), F.lit(0.0))
     v = v.withColumns({"lat": get("lat", "double"), "lon": get("lon", "double"), "seen": seen}).where(f"lat is not null and lon is not null and seen <= {MAX_DETAIL_AGE_S}")
     null = lambda name: F.lit(None).cast("float").alias(name)
     return v.select(
-        F.timestamp_millis(F.floor((F.col("now") - F.col("seen")) * 1000)).alias("ts"), F.regexp_replace(F.lower(get("hex", "string")), "^~", "").alias("icao24"), "lat", "lon", F.try_variant_get("a", "$.alt_baro", "float").alias("alt_baro_ft"), get("alt_geom", "float").alias("alt_geom_ft"), null("gs_kt"), null("track"),
-        F.nullif(F.trim(get("flight", "string")), F.lit("")).alias("callsign"), *(get(n, "int").cast("tinyint").alias(n) for n in ("nic", "nac_p", "sil")), null("nic_age_s"), F.concat(F.lit("adsblol:"), F.coalesce(F.nullif(get("type", "string"), F.lit("")), F.lit("unknown"))).alias("source"),
-        F.coalesce(get("alt_baro", "string") == "ground", F.lit(False)).alias("on_ground"), (F.coalesce(get("dbFlags", "int"), F.lit(0)).bitwiseAND(F.lit(12)) != 0).alias("anonymous"),
+        F.timestamp_millis(F.floor((F.col("now") - F.col("seen")) * 1000)).alias("ts"), F.lower(get("hex", "string")).alias("icao24"), "lat", "lon", F.try_variant_get("a", "$.alt_baro", "float").alias("alt_baro_ft"), get("alt_geom", "float").alias("alt_geom_ft"), null("gs_kt"), null("track"),
+        F.nullif(F.trim(get("flight", "string")), F.lit("")).alias("callsign"), *(get(n, "int").cast("tinyint").alias(n) for n in ("nic", "nac_p", "sil")), null("nic_age_s"), F.concat(F.lit("adsblol:"), F.coalesce(get("type", "string"), F.lit("unknown"))).alias("source"),
+        F.coalesce(get("alt_baro", "string") == "ground", F.lit(False)).alias("on_ground"), (F.coalesce(get("dbFlags", "int"), F.lit(0)).bitwiseAND(F.lit(12)) != 0).alias("anonymous"), *keep, *(["at"] if keep else []),
     )
 
 
+def gate(documents: DataFrame, limit: float = MAX_CORRUPT_SHARE, column: str = "document") -> None:
+    """Raises where more than `limit` of the documents are no JSON: such a day fails as a whole."""
+    r = corrupt_share(documents, column).first()
+    if r.share > limit:
+        raise ValueError(f"{r.corrupt} of {r.documents} documents are damaged")
+
+
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Captured positions, one JSON object a line, gzip or plain."""
-    return spark.read.schema(POSITIONS).json(path)
+    return spark.read.schema(POSITIONS).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*").json(path)
+
+
+def write_json_lines(positions: DataFrame, folder: str) -> None:
+    """Adds positions to a folder of captured ones."""
+    positions.write.mode("append").option("compression", "gzip").json(folder)

@@ -28,7 +28,7 @@ def test_trace_carry_forward(spark):
 def test_live(spark):
     snap = {"ac": [{"hex": "~AB", "lat": 1.0, "lon": 2.0, "seen_pos": 2.5, "alt_baro": "ground", "nic": 8, "type": "adsb_icao"}, {"hex": "c", "lat": 1.0, "lon": 2.0, "seen_pos": 61}, {"hex": "d"}]}
     got = ingest.live(spark.createDataFrame([(json.dumps(snap), 100.0)], "snapshot string, now double")).collect()
-    assert [(r.icao24, r.on_ground, r.ts.timestamp(), r.nic) for r in got] == [("ab", True, 97.5, 8)]
+    assert [(r.icao24, r.on_ground, r.ts.timestamp(), r.nic) for r in got] == [("~ab", True, 97.5, 8)]
 
 
 def test_tail(spark):
@@ -47,6 +47,98 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     positions.coalesce(1).write.parquet(str(tmp_path / "in"))
     q = stream.hourly(stream.positions(spark, str(tmp_path / "in"))).writeStream.format("memory").queryName("hourly_stream").outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination()
-    columns = ["n_reports", "n_bad_reports", "min_nic", "anonymous"]
+    columns = ["n_reports", "n_bad_reports", "min_nic", "anonymous", "n_low_reports", "n_low_bad_reports", "n_nacp_reports", "n_low_nacp_reports", "nic_hist", "callsign"]
     got = spark.table("hourly_stream")
     assert verify.compare(rollup.rollup(positions), got, columns).first().asDict() == {"only_stored": 0, "only_recomputed": 0, "different": 0, "equal": got.count()}
+
+
+def test_trailing_hours_are_replaced(spark, sf, tmp_path):
+    """Two runs over files that come one after the other end where one batch does."""
+    positions = fixtures.positions(spark, sf).where(F.hour("ts").between(4, 6))
+    source, target, inbox = (str(tmp_path / x) for x in ("source", "target", "in"))
+    for i in range(2):
+        positions.where(F.pmod(F.hash("icao24"), F.lit(2)) == i).coalesce(1).write.mode("append").parquet(inbox)
+        stream.start(stream.positions(spark, inbox), spark, source, target, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+    got = spark.read.parquet(target).drop("hour_key")
+    r = verify.compare(rollup.rollup(positions), got, ["n_reports", "nic_hist", "callsign"]).first()
+    assert (r.only_stored, r.only_recomputed, r.different) == (0, 0, 0) and r["equal"] > 0
+
+
+def test_stream_jumps_equal_batch(spark, sf, tmp_path):
+    from navlattice.operators import jumps
+    from navlattice.streaming import jumps as live_jumps
+
+    positions = fixtures.positions(spark, sf)
+    inbox = str(tmp_path / "in")
+    for lo, hi in ((0, 11), (12, 23)):
+        positions.where(F.hour("ts").between(lo, hi)).coalesce(1).write.mode("append").parquet(inbox)
+    found = live_jumps.jumps(stream.positions(spark, inbox))
+    q = found.writeStream.format("memory").queryName("jump_stream").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    key = lambda rows: sorted((r.icao24, round(r.a, 3), round(r.b, 3), round(r.dist_nm, 3)) for r in rows)
+    got = spark.table("jump_stream").selectExpr("icao24", "before_ts as a", "after_ts as b", "dist_nm").collect()
+    want = jumps.jumps(positions).selectExpr("icao24", "unix_millis(before.ts) / 1000 as a", "unix_millis(after.ts) / 1000 as b", "dist_nm").collect()
+    assert key(got) == key(want) and got
+
+
+def test_stream_sessions():
+    import pandas as pd
+
+    from navlattice.streaming.jumps import _sessions
+
+    class State:
+        exists = False
+
+        def update(self, value):
+            self.get, self.exists = value, True
+
+    state = State()
+    frame = lambda *rows: iter([pd.DataFrame(rows, columns=["before_ts", "after_ts"])])
+    first = pd.concat(_sessions(("a",), frame((0.0, 10.0), (610.0, 620.0), (1220.1, 1230.0)), state))
+    assert first[["session", "start", "end", "jumps"]].values.tolist() == [[1, 0.0, 620.0, 2], [2, 1220.1, 1230.0, 1]]
+    second = pd.concat(_sessions(("a",), frame((1300.0, 1310.0)), state))
+    assert second[["session", "start", "end", "jumps"]].values.tolist() == [[2, 1220.1, 1310.0, 2]]
+
+
+def test_poll_loop_goes_on():
+    seen, waits = [], []
+
+    def step():
+        seen.append(1)
+        if len(seen) == 2:
+            raise OSError("sink is away")
+
+    assert stream.poll_loop(step, 5, 3, waits.append) == 1 and len(seen) == 3 and waits == [5, 5]
+
+
+def test_verify_and_transitions(spark, sf):
+    from navlattice.operators import serve
+
+    h = rollup.rollup(fixtures.positions(spark, sf)).cache()
+    r = verify.verify_day(h, fixtures.positions(spark, sf), (20.0, 0.0, 60.0, 60.0)).first()
+    assert r.avionics_same and r.only_stored == r.only_recomputed == r.different == 0 and r["equal"] > 0
+    cells = serve.cells(h, 4).cache()
+    moved = {(x.before, x.after): x["count"] for x in verify.transitions(cells, cells.where("level <> 'high'")).collect()}
+    assert all(a == b or (a, b) == ("high", "noData") for a, b in moved) and sum(moved.values()) == cells.count()
+
+
+def test_shared_addresses(spark):
+    """Two clusters of ends, four jumps: dropped; three clusters, or three jumps: kept."""
+    from navlattice.operators import jumps
+
+    point = lambda i, lat: {"ts": None, "lat": lat, "lon": 0.0, "nic": None, "source": "", "on_ground": False, "anonymous": False}
+
+    def rows(icao, lats):
+        import datetime as dt
+
+        out = []
+        for i, (a, b) in enumerate(zip(lats, lats[1:])):
+            x, y = point(i, a), point(i, b)
+            x["ts"], y["ts"] = dt.datetime(2024, 1, 1, 0, i), dt.datetime(2024, 1, 1, 0, i + 1)
+            out.append((icao, x, y, 60.0, 300.0, 18000.0))
+        return out
+
+    shape = "struct<ts: timestamp, lat: double, lon: double, nic: tinyint, source: string, on_ground: boolean, anonymous: boolean>"
+    data = rows("two", [0.0, 5.0, 0.1, 5.1, 0.2]) + rows("three", [0.0, 5.0, 0.1, 10.0, 0.2]) + rows("few", [0.0, 5.0, 0.1, 5.1])
+    df = spark.createDataFrame(data, f"icao24 string, before {shape}, after {shape}, dt_s double, dist_nm double, speed_kt double")
+    assert {r.icao24 for r in jumps.unshared(df).select("icao24").distinct().collect()} == {"three", "few"}
