@@ -24,12 +24,10 @@ The result is written: sequence ids belong to one run of each task.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +35,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, slices, written
+from . import textvec as tv
+from .common import find, map_texts, slices, written
 
 WINDOW, END = 2048, 1
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
-#: Distinct pieces that a worker remembers, and the characters of the longest of them.
-KNOWN, LONGEST = 1_000_000, 64
+#: Distinct pieces, and ids of them, that a worker remembers.
+KNOWN, IDS = 1_500_000, 12_000_000
 
 
 @lru_cache(1)
@@ -56,8 +55,29 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _pieces(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of all texts begin, and the number of pieces before each text: cuts are spaces after a character that is no white space."""
+    space = np.flatnonzero(raw == 0x20)
+    space = space[space > 0]
+    b1, b2, b3 = raw[space - 1], raw[space - 2], raw[space - 3]
+    white = (b1 <= 0x20) & ((b1 == 0x20) | (b1 >= 0x1C) | ((b1 >= 9) & (b1 <= 13)))
+    far = np.flatnonzero(b1 >= 0x80)
+    b1, b2, b3 = b1[far], b2[far], b3[far]
+    # U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000
+    white[far] = ((b2 == 0xC2) & ((b1 == 0x85) | (b1 == 0xA0))) | ((b3 == 0xE1) & (b2 == 0x9A) & (b1 == 0x80)) | ((b3 == 0xE3) & (b2 == 0x80) & (b1 == 0x80)) | ((b3 == 0xE2) & (((b2 == 0x80) & ((b1 <= 0x8A) | (b1 == 0xA8) | (b1 == 0xA9) | (b1 == 0xAF))) | ((b2 == 0x81) & (b1 == 0x9F))))
+    begin = np.zeros(len(raw), bool)
+    begin[space[~white]] = True
+    begin[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(begin)
+    return starts, np.searchsorted(starts, offsets)
+
+
 class Encoder:
-    """Ids of texts, as the tokenizer gives them for whole texts, from the ids of pieces."""
+    """Ids of texts, as the tokenizer gives them for whole texts, from the ids of pieces.
+
+    Pieces are known by a 64-bit hash, their length and their first eight
+    bytes, in sorted arrays: some tens of bytes each.
+    """
 
     def __init__(self, path: str, end: int):
         coder = tokenizer(path)
@@ -70,78 +90,71 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids, self.at, self.n = np.zeros(1 << 16, "<u4"), np.zeros(1 << 12, np.int64), 0
-
-    def learn(self, pieces: dict[str, None], edges: set[str]) -> None:
-        # pieces that begin with a space and end without one stay apart when they stand one after the other; others are at the edges of texts
-        apart = [x for x in edges if x in pieces and (x[0] != " " or x[-1].isspace())]
-        for x in apart:
-            del pieces[x]
-        pieces = list(pieces)
-        runs = [pieces[i : i + JOIN] for i in range(0, len(pieces), JOIN)]
-        coded = self.encode(["".join(r) for r in runs] + apart, add_special_tokens=False)
-        for run, code in zip([*runs, *([x] for x in apart)], coded, strict=True):
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.count = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.ids, self.n = np.zeros(1 << 16, "<u4"), 0
+
+    def learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes new pieces; where the ids of each begin, and how many there are."""
+        # pieces that begin with a space and end without white space stay apart when they stand one after the other
+        apart = np.array([x[0] != " " or x[-1].isspace() for x in pieces], bool)
+        alone, together = np.flatnonzero(apart), np.flatnonzero(~apart)
+        groups = [*(together[i : i + JOIN] for i in range(0, len(together), JOIN)), *alone[:, None]]
+        at, count = np.zeros(len(pieces), np.int32), np.zeros(len(pieces), np.int32)
+        for group, code in zip(groups, self.encode(["".join([pieces[i] for i in g]) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(code.ids, "<u4")
             ends = np.cumsum(self.size[ids])
-            bytes_ = np.cumsum([len(x.encode()) for x in run])
-            cut = np.searchsorted(ends, bytes_)
-            if not len(ids) or ends[-1] != bytes_[-1] or (ends[cut] != bytes_).any():
+            stop = np.cumsum([len(pieces[i].encode()) for i in group])
+            cut = np.searchsorted(ends, stop)
+            if not len(ids) or ends[-1] != stop[-1] or (ends[cut] != stop).any():
                 raise ValueError("the tokenizer's pieces are not those of the text")
-            self.keep(run, ids, cut + 1)
-
-    def keep(self, run: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        at, n = int(self.at[self.n]), self.n + len(run)
-        if at + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(ids), len(self.ids)), "<u4")])
-        if n >= len(self.at):
-            self.at = np.concatenate([self.at, np.zeros(max(len(run), len(self.at)), np.int64)])
-        self.ids[at : at + len(ids)] = ids
-        self.at[self.n + 1 : n + 1] = at + ends
-        self.number.update(zip(run, range(self.n, n), strict=True))
-        self.n = n
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+            if self.n + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros(max(len(ids), len(self.ids)), "<u4")])
+            self.ids[self.n : self.n + len(ids)] = ids
+            first = np.concatenate([[0], cut[:-1] + 1])
+            at[group], count[group] = self.n + first, cut + 1 - first
+            self.n += len(ids)
+        return at, count
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text and the end after them."""
-        if self.n > KNOWN:
+        if len(self.key) > KNOWN or self.n > IDS:
             self.forget()
-        parts = [_pieces(t) for t in texts]
-        flat = list(chain.from_iterable(parts))
-        number = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
-        new = np.flatnonzero(number < 0).tolist()
-        if new:
-            met = dict.fromkeys(map(flat.__getitem__, new))
-            self.learn(met.copy(), {x for p in parts if p for x in (p[0], p[-1])})
-            number[new] = list(map(self.number.__getitem__, map(flat.__getitem__, new)))
-            for x in [x for x in met if len(x) > LONGEST]:
-                del self.number[x]
-        begin, size = self.at[number], self.at[number + 1] - self.at[number]
-        end = np.concatenate([[0], np.cumsum(size)])
+        raw, offsets = tv.raw_buffers(texts)
+        starts, first = _pieces(raw, offsets)
+        ends = np.append(starts[1:], len(raw))
+        key, one, of = np.unique(tv.hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        head = np.concatenate([raw, np.zeros(8, np.uint8)])
+        check = np.zeros(len(starts), np.uint64)
+        for k in range(8):
+            check |= np.where(starts + k < ends, head[starts + k], 0).astype(np.uint64) << np.uint64(8 * k)
+        check ^= (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        found = find(self.key, key)
+        if (check != check[one][of]).any() or (self.check[found[found >= 0]] != check[one][found >= 0]).any():
+            raise ValueError("two pieces share a hash")
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            whole = raw.tobytes()
+            at, count = self.learn([whole[a:z].decode() for a, z in zip(starts[one[new]].tolist(), ends[one[new]].tolist(), strict=True)])
+            to = np.searchsorted(self.key, key[new])
+            self.key, self.check = np.insert(self.key, to, key[new]), np.insert(self.check, to, check[one[new]])
+            self.at, self.count = np.insert(self.at, to, at), np.insert(self.count, to, count)
+            found = find(self.key, key)
+        found = found[of]
+        begin, size = self.at[found], self.count[found]
+        end = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         ids = self.ids[np.arange(end[-1]) + np.repeat(begin - end[:-1], size)]
-        stop = end[np.cumsum([0, *map(len, parts)])].tolist()
-        last = np.array([self.end], "<u4")
+        stop, last = end[first].tolist(), np.array([self.end], "<u4")
         return [np.concatenate([ids[a:z], last]) for a, z in zip(stop[:-1], stop[1:], strict=True)]
 
 
-@lru_cache(1)
-def encoder(path: str, end: int) -> Encoder:
-    return Encoder(path, end)
-
-
 #: Pieces that are encoded as one text.
 JOIN = 4096
-#: A space after white space, of whatever kind.
-_SPACES = [c + " " for c in map(chr, range(0x10000)) if c.isspace()]
-_CUT = re.compile(r"(?<=\S)(?= )")
 
 
-def _pieces(text: str) -> list[str]:
-    """A text cut before each space that follows no white space."""
-    if not text:
-        return []
-    if text[0] == " " or "\0" in text or any(x in text for x in _SPACES):
-        return _CUT.split(text)
-    return text.replace(" ", "\0 ").split("\0")
+@lru_cache(1)
+def encoder(path: str, end: int) -> Encoder:
+    return Encoder(path, end)
 
 
 class Packer:
@@ -240,7 +253,7 @@ def _pack(path: str, end: int, window: int):
         packer = Packer(TaskContext.get().partitionId() << 40, window)
         for batch in slices(batches, limit=1 << 20):
             rows: list[tuple] = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode([t or "" for t in batch.column("text").to_pylist()]), strict=True):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text")), strict=True):
                 whole = len(ids) // window * window
                 for a in range(0, whole, window):
                     rows += packer.place([(doc, a, ids[a : a + window], len(ids))])

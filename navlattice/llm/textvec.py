@@ -57,8 +57,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The lower-cased bytes of all texts end to end, and each text's offsets."""
+def raw_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts end to end, and each text's offsets."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if texts.null_count:
@@ -67,7 +67,13 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64, count=len(texts) + 1 + texts.offset)[texts.offset :]
     data = texts.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
-    return _lower[raw], offsets - offsets[0]
+    return raw, offsets - offsets[0]
+
+
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The lower-cased bytes of all texts end to end, and each text's offsets."""
+    raw, offsets = raw_buffers(texts)
+    return _lower[raw], offsets
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, sep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -264,7 +264,7 @@ def test_packing_ids_of_pieces(monkeypatch):
     for known in (packing.KNOWN, 50):
         monkeypatch.setattr(packing, "KNOWN", known)
         encode = packing.Encoder(packing.default_tokenizer(), 1)
-        got = [ids for i in range(0, len(texts), 100) for ids in encode(texts[i : i + 100])]
+        got = [ids for i in range(0, len(texts), 100) for ids in encode(pa.array(texts[i : i + 100]))]
         assert [x.tolist() for x in got] == [[*coder.encode(t, add_special_tokens=False).ids, 1] for t in texts]
 
 
