@@ -12,14 +12,13 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
     """For every code point: is it a letter, and its lower-case form where that is one code point."""
     letter = np.zeros(0x110000, bool)
     lower = np.arange(0x110000, dtype=np.uint32)
-    for i in range(0x30000):
+    for i in range(0x110000):
         c = chr(i)
         if c.isalpha():
             letter[i] = True
             low = c.lower()
             if len(low) == 1:
                 lower[i] = ord(low)
-    letter[0x30000:0x323B0] = True
     return letter, lower
 
 

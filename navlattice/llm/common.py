@@ -20,9 +20,11 @@ BATCH_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder name that driver and executors share: below spark.checkpoint.dir, or below one of our own where that is unset."""
+    """A fresh folder name below spark.checkpoint.dir, which driver and executors share; a local session without one gets a folder of its own, a cluster's is refused."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = getattr(shared_dir, "own", None)
         if base is None:
             base = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="navlattice-")
@@ -136,17 +138,25 @@ def blob(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
-#: Keys that hold more than this share of the rows are dealt out; there can be no more of them than its inverse.
-HOT = 64
+#: Keys that hold more than this share of the rows are dealt out, to as many parts; there can be no more of them than its inverse.
+HOT = 1024
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, spread: Column) -> DataFrame:
     """left join on one key, right unique in it; keys with over 1/HOT of left's rows (at most HOT of them) are dealt out by `spread`."""
     counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
     total = left.count()
-    hot = [r[0] for r in counts.where(F.col("count") * HOT > total).orderBy(F.desc("count")).limit(HOT).collect()]
+    hot = [r[0] for r in counts.where(F.col("count") * HOT > total).orderBy(F.desc("count")).limit(HOT).collect()] if total > HOT else []
     if not hot:
         return left.join(right, key, "left")
     salt = F.when(F.col(key).isin(hot), F.pmod(F.xxhash64(spread), F.lit(HOT)).cast("int")).otherwise(F.lit(0))
     salts = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(HOT - 1))).otherwise(F.array(F.lit(0)))
     return left.withColumn("_salt", salt).join(right.withColumn("_salt", F.explode(salts)), [key, "_salt"], "left").drop("_salt")
+
+
+def done(folder: str) -> set[str]:
+    """The names of the files that tasks have put into a folder."""
+    from pyarrow import fs
+
+    system, path = (fs.LocalFileSystem(), _local(folder)) if _local(folder) else fs.FileSystem.from_uri(folder)
+    return {f.base_name for f in system.get_file_info(fs.FileSelector(path, allow_not_found=True)) if "." not in f.base_name}

@@ -1,37 +1,13 @@
-"""Connected components of an edge table, without a node's neighbours ever meeting in one task."""
+"""Connected components whose rounds end in written tables of the shared folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from ..operators import graph
 from .common import written
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for edges (a, b) of longs: the smallest node that is reachable, for every node with an edge.
-
-    Alternating large and small stars: each round points every node's larger
-    neighbours, then its smaller ones, at the smallest of them.  Minima are
-    summed up before the shuffle, and each round ends in a written table.
-    A self-loop keeps a node in the result.
-    """
-    alone = edges.where("a = b").select(F.col("a").alias("node")).distinct()
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state[0] == 0 or state == before:
-            break
-        before = state
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        near = large.join(least, "a")
-        small = near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        now = written(small.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    found = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    roots = now.select(F.col("b").alias("node")).distinct()
-    found = found.unionByName(roots.select("node", F.col("node").alias("component")))
-    return found.unionByName(alone.join(found, "node", "left_anti").select("node", F.col("node").alias("component")))
+    """(node, component) for edges (a, b) of longs: the smallest node that is reachable, for every node with an edge."""
+    return graph.components(edges, lambda df: written(df, "edges"))
