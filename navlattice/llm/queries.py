@@ -30,7 +30,7 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .url_filter import judge
 
-    return judge(table(spark, sf_dir, "pages"))
+    return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", F.round("mean", 9).alias("mean"))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +53,9 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .warc import read_archives, resolve, write_archives
+    from .warc import read_archives, write_archives
 
-    return read_archives(write_archives(resolve(table(spark, sf_dir, "pages")))).drop("url")
+    return read_archives(write_archives(table(spark, sf_dir, "pages"))).drop("url")
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +81,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import oracle
+
+    return oracle.oracle_sql()
