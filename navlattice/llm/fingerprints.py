@@ -7,13 +7,16 @@ signatures is the share of the K smallest of their union that both have, the
 estimate of the Jaccard similarity of the phrase sets (exact below K).
 
 Neighbours in id order meet by ranges: bounds are quantiles of the ids, and
-the first row of each range also goes, as a guest, to the range before it, so
-texts are shuffled once and no task sees more than its range.
+an id that fills several ranges by itself is parted by the hash of its texts.
+The first row of each range also goes, as a guest, to the range before it, so
+texts are shuffled once and no task sees more than its range.  Workers search
+the bounds as arrays; the plan holds none of them.
 
 Defined cases: null texts are empty; the empty text's fingerprint is empty,
 like another empty one's (1) and unlike all others (0); rows are ordered by
-doc_id, then text, nulls first; a lone row's next one is itself; other columns
-are ignored.
+doc_id, nulls first, and rows of one id by the hash of their text, then the
+text; a lone row's next one is itself; very long texts are parsed whole;
+equal rows of one id stay in one range; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
@@ -78,48 +81,104 @@ _OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edi
 _TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
 
+_LAST = np.iinfo(np.int64)
+
+
+class Ranges:
+    """Bounds in (id, hash) order, and the first row of each range that has rows."""
+
+    def __init__(self, quantiles: list[int]):
+        ids, held = np.unique(np.array(quantiles, np.int64), return_counts=True)
+        # an id that several quantiles name is parted into as many pieces of its hashes
+        ends = [int(_LAST.min) + (j << 64) // n - 1 for n in held.tolist() for j in range(1, n + 1)]
+        self.ids, self.hashes = np.repeat(ids, held), np.array(ends, np.int64)
+        self.first_keys = np.zeros(0, np.int64)
+        self.firsts: dict[tuple[int, int], int] = {}
+
+    def of(self, key: np.ndarray, hash_: np.ndarray) -> np.ndarray:
+        """The number of bounds below each row."""
+        low, high = np.searchsorted(self.ids, key, "left"), np.searchsorted(self.ids, key, "right")
+        out = low.copy()
+        for i in np.flatnonzero(high > low).tolist():
+            out[i] += np.searchsorted(self.hashes[low[i] : high[i]], hash_[i], "left")
+        return out
+
+
+_KEYED = "bucket int, guest boolean, key long, hash long, doc_id long, text string"
+
+
+def _dealt(ranges: Ranges, guests: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        for batch in batches:
+            key, hash_ = (batch.column(c).to_numpy() for c in ("key", "hash"))
+            bucket = ranges.of(key, hash_)
+            rows, to, guest = np.arange(len(key)), bucket, np.zeros(len(key), bool)
+            if guests:
+                more = []
+                for i in np.flatnonzero(np.isin(key, ranges.first_keys)).tolist():
+                    before = ranges.firsts.get((int(key[i]), int(hash_[i])))
+                    if before is not None and before not in sent:
+                        sent.add(before)
+                        more.append((i, before))
+                if more:
+                    rows = np.concatenate([rows, [i for i, _ in more]])
+                    to = np.concatenate([to, [b for _, b in more]])
+                    guest = np.concatenate([guest, np.ones(len(more), bool)])
+            taken = batch.select(["key", "hash", "doc_id", "text"]).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(guest), *taken.columns], names=[x.split()[0] for x in _KEYED.split(", ")])
+
+    return run
+
+
+def _firsts(ranges: Ranges):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[int, tuple[int, int]] = {}
+        for batch in batches:
+            key, hash_ = (batch.column(c).to_numpy() for c in ("key", "hash"))
+            bucket = ranges.of(key, hash_)
+            order = np.lexsort((hash_, key, bucket))
+            head = order[np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) > 0]))] if len(order) else order
+            for b, k, h in zip(bucket[head].tolist(), key[head].tolist(), hash_[head].tolist(), strict=True):
+                least[b] = min(least.get(b, (k, h)), (k, h))
+        yield pa.RecordBatch.from_arrays([pa.array(list(least), pa.int32()), pa.array([k for k, _ in least.values()], pa.int64()), pa.array([h for _, h in least.values()], pa.int64())], names=["bucket", "key", "hash"])
+
+    return run
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (bucket, guest, doc_id, text): each row against the next of its bucket."""
+    """Rows sorted by (bucket, guest, key, hash, text): each row against the next of its bucket."""
     names = [x.split()[0] for x in _OUT.split(", ")]
-    held, rows, size = None, [], 0
+    held, rows = None, []
     for batch in slices(batches):
         for bucket, guest, doc, text in zip(*(batch.column(c).to_pylist() for c in ("bucket", "guest", "doc_id", "text")), strict=True):
             if held is not None and (held[0] != bucket or held[1]):
                 held = None  # a further guest, or another bucket
             if held is None and guest:
                 continue
-            sig = signature(phrases(text))
+            sig = held[4] if held is not None and held[3] == text else signature(phrases(text))
             if held is not None:
                 new = edited(held[3], text)
-                e = signature(phrases(new))
+                e = held[4] if new == held[3] else signature(phrases(new))
                 rows.append((held[2], len(held[3]), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), _text(held[4]), _text(e), likeness(held[4], e), likeness(held[4], sig)))
             held = (bucket, guest, doc, text, sig)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, _TYPES, strict=True)], names=names)
         rows = []
 
 
-def fingerprints(documents: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+def fingerprints(documents: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. ranges: how many (four a shuffle partition where not given)."""
     spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    n = shards(spark) * 4
-    ids = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("key"))
-    cuts = ids.agg(F.expr(f"approx_percentile(key, array({', '.join(str(i / n) for i in range(1, n))}), 10000)")).first()[0] or []
-    cuts = sorted(set(cuts))
-    key = F.coalesce("doc_id", F.lit(-(2**63)))
-    used = sorted(ids.withColumn("bucket", _bucket(F.col("key"), cuts)).groupBy("bucket").agg(F.min("key")).collect())
-    if not used:
+    n = ranges or shards(spark) * 4
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text).select(F.coalesce("doc_id", F.lit(int(_LAST.min))).alias("key"), F.xxhash64("text").alias("hash"), "doc_id", "text")
+    quantiles = docs.agg(F.percentile_approx("key", [i / n for i in range(1, max(n, 2))], 10000)).first()[0]
+    if quantiles is None:
         return spark.createDataFrame([], _OUT)
-    docs = docs.withColumn("bucket", _bucket(key, cuts))
-    before = {first: used[i - 1][0] for i, (_, first) in enumerate(used)}
-    to = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))[key]
-    own = F.struct(F.col("bucket").cast("int").alias("bucket"), F.lit(False).alias("guest"))
-    both = F.array_compact(F.array(own, F.when(to.isNotNull(), F.struct(to.cast("int").alias("bucket"), F.lit(True).alias("guest")))))
-    dealt = docs.withColumn("to", F.explode(both)).select("to.bucket", "to.guest", "doc_id", "text")
-    dealt = dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text")
-    return map_texts(dealt, _pairs, _OUT)
-
-
-def _bucket(key: Column, cuts: list[int]) -> Column:
-    """The number of cuts below the key."""
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < key)) if cuts else F.lit(0)
+    cut = Ranges(quantiles if n > 1 else [])
+    used = sorted(docs.select("key", "hash").mapInArrow(_firsts(cut), "bucket int, key long, hash long").groupBy("bucket").agg(F.min(F.struct("key", "hash")).alias("first")).collect())  # a row a range
+    cut.firsts = {tuple(first): used[i - 1][0] for i, (_, first) in enumerate(used)}
+    cut.first_keys = np.unique(np.array([k for k, _ in cut.firsts], np.int64))
+    dealt = map_texts(docs, _dealt(cut, True), _KEYED)
+    dealt = dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "guest", "key", "hash", "text")
+    return map_texts(dealt.select("bucket", "guest", "doc_id", "text"), _pairs, _OUT)
