@@ -9,12 +9,15 @@ once, twice, more often) is summed into a second set of sorted hash arrays.
 Scoring tasks memory-map these arrays and look pairs up in them; no part of
 the model is collected or broadcast.
 
-A pair lives in the shard of its first word.  Words that hold more than a
-quarter of an average shard are *split*: their pairs are dealt out by the
-hash of the pair, and the sums about the word meet in the word's own shard.
+The number of shards follows the bytes of text, so a shard fits a task at any
+size.  A pair lives in the shard of its first word.  Words seen SPLIT times or
+more are *split*: their pairs are dealt out by the hash of the pair, and the
+sums about the word meet in the word's own shard.  Counts have 64 bits: the
+few beyond 32 stand in a list of their own.
 
 The model is the bigram one (order 2): pairs with a start mark before the
-first word and an end token after the last.  The lower order is interpolated
+first word and an end token after the last; the README has the figures that
+rule out order 3 here.  The lower order is interpolated
 Kneser-Ney over the number of different predecessors, and below it stands the
 uniform distribution over the known tokens and one unknown.
 
@@ -34,12 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import blob, find, held_out, map_texts, mapped, put, shards, shared_dir, slices, totals, written
+from .common import blob, done, find, held_out, map_texts, mapped, put, shards, shared_dir, slices, totals, written
 
 U64 = np.uint64
 END, START = U64(0x1D8E4E27C47D124F), U64(0xEB44ACCAB455D165)
 #: Tokens of a task that are sorted together.
 FLUSH = 3_000_000
+#: Bytes of text for one shard, and the count from which a word's pairs are dealt out: a quarter of such a shard's words.
+SHARD_BYTES, SPLIT = 64 << 20, 2_500_000
+#: The count that stands for one in the list of large ones.
+MORE = 0xFFFFFFFF
 _TOP = U64(0xFFFFFF0000000000)
 
 
@@ -115,7 +122,7 @@ def _sum_words(key: tuple, table: pa.Table) -> pa.Table:
     h = np.concatenate([np.frombuffer(x, U64) for x in table.column("a").to_pylist()])
     c = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("b").to_pylist()])
     h, c = totals(h, c)
-    large = c * 64 >= c.sum()
+    large = c >= SPLIT
     return pa.Table.from_batches([_row(key[0].as_py(), "word", blob(h), blob(c), blob(h[large]) + blob(c[large]), int(c.sum()))])
 
 
@@ -135,7 +142,7 @@ def _count_pairs(n: int, split: np.ndarray):
             order = np.argsort(sort)
             sort = sort[order]
             first = np.flatnonzero(np.concatenate([[True], sort[1:] != sort[:-1]]))
-            count = np.minimum(np.diff(np.concatenate([first, [len(sort)]])), 0xFFFFFFFF).astype(np.uint32)
+            count = np.diff(np.concatenate([first, [len(sort)]])).astype(np.uint32)
             order = order[first]
             u, w, cut = u[order], w[order], _by_shard(n, route[order])
             for s in np.flatnonzero(np.diff(cut)):
@@ -172,7 +179,8 @@ def _sum_pairs(n: int, folder: str):
         first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
         pair, u, w, c = pair[first], u[first], w[first], np.add.reduceat(c, first)
         s = key[0].as_py()
-        put(f"{folder}/pair-{s}", [pair, np.minimum(c, 0xFFFFFFFF).astype(np.uint32)])
+        large = np.flatnonzero(c >= MORE)
+        put(f"{folder}/pair-{s}", [np.array([len(pair), len(large)], np.int64), pair, large, c[large], np.minimum(c, MORE).astype(np.uint32)])
         rows = [_row(-1, "seen", blob(np.bincount(np.minimum(c, 5), minlength=6)[1:5].astype(np.int64)))]
         after = totals(u, c, (c == 1).astype(np.int64), (c == 2).astype(np.int64), (c > 2).astype(np.int64))
         for kind, arrays in (("after", after), ("into", totals(w, np.ones(len(w), np.int64)))):
@@ -244,8 +252,9 @@ class Model:
                 x = raw.view(np.int64).reshape(_FIELDS, -1)
                 files[uri] = (x[0].view(U64), x)
             else:
-                m = len(raw) // 12
-                files[uri] = (raw[: 8 * m].view(U64), raw[8 * m :].view(np.uint32))
+                m, k = raw[:16].view(np.int64).tolist() if len(raw) else (0, 0)
+                words = raw[16 : 16 + 8 * (m + 2 * k)].view(np.int64)
+                files[uri] = (words[:m].view(U64), raw[16 + 8 * (m + 2 * k) :].view(np.uint32), words[m : m + k], words[m + k :])
         return files[uri]
 
     def __getstate__(self):
@@ -270,7 +279,10 @@ class Model:
 
         def query(at, file):
             i = find(file[0], keys[at])
-            found[at] = np.where(i >= 0, file[1][np.maximum(i, 0)] if len(file[1]) else 0, 0)
+            got = np.where(i >= 0, file[1][np.maximum(i, 0)] if len(file[1]) else 0, 0).astype(np.int64)
+            more = np.flatnonzero(got == MORE)
+            got[more] = file[3][np.searchsorted(file[2], i[more])]
+            found[at] = got
 
         _lookup(self._open, self.folder, "pair", self.n, route[order], query)
         out = np.empty(len(pair), np.int64)
@@ -304,28 +316,21 @@ class Model:
 def train(documents: DataFrame) -> Model:
     """A model of all texts of `documents` (column text)."""
     spark = documents.sparkSession
-    n, folder = shards(spark), shared_dir(spark, "lm")
+    folder = shared_dir(spark, "lm")
     texts = documents.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    n = max(shards(spark), size // SHARD_BYTES + 1)
     words = written(map_texts(texts, _count_words(n), _COUNTS).groupBy("shard").applyInArrow(_sum_words, _COUNTS), "lm-words")
     tops = words.select("n", "c").collect()  # a row a shard
     tokens = sum(r.n for r in tops)
     large = [np.frombuffer(bytes(r.c), U64).reshape(2, -1) for r in tops]
-    split = np.sort(np.concatenate([x[0][x[1].view(np.int64) * 4 * n > tokens] for x in large])) if large else np.zeros(0, U64)
+    split = np.sort(np.concatenate([x[0] for x in large])) if large else np.zeros(0, U64)
     pairs = written(map_texts(texts, _count_pairs(n, split), _COUNTS).groupBy("shard").applyInArrow(_sum_pairs(n, folder), _COUNTS), "lm-pairs")
     seen = sum((np.frombuffer(bytes(r.a), np.int64) for r in pairs.where("kind = 'seen'").select("a").collect()), np.zeros(4, np.int64))
     about = pairs.where("kind in ('after', 'into')").unionByName(words.withColumn("c", F.lit(b"")))
     rows = about.groupBy("shard").applyInArrow(_join_words(folder), _COUNTS).select("a").collect()
     last = sum((np.frombuffer(bytes(r.a), np.int64) for r in rows), np.zeros(7, np.int64))
-    return Model(folder, n, split, tokens, int(last[6]), discounts(seen), discounts(last[:4]), int(last[4]), np.array([last[0], last[1], last[5]]), _names(folder))
-
-
-def _names(folder: str) -> set[str]:
-    from pyarrow import fs
-
-    from .common import _local
-
-    system, path = (fs.LocalFileSystem(), _local(folder)) if _local(folder) else fs.FileSystem.from_uri(folder)
-    return {f.base_name for f in system.get_file_info(fs.FileSelector(path, allow_not_found=True))}
+    return Model(folder, n, split, tokens, int(last[6]), discounts(seen), discounts(last[:4]), int(last[4]), np.array([last[0], last[1], last[5]]), done(folder))
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
