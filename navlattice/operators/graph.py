@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,30 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Edges that one task solves in memory.
+FEW = 50_000
+
+
+def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars of the components of all edges of a task: labels spread along edges and jump to their labels' labels."""
+    a, b = (np.concatenate(x) for x in zip(*((batch.column(c).to_numpy() for c in "ab") for batch in batches), strict=True)) if (batches := list(batches)) else (np.zeros(0, np.int64),) * 2
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        new = label.copy()
+        low = np.minimum(label[a], label[b])
+        for end in (a, b):
+            np.minimum.at(new, end, low)
+            np.minimum.at(new, label[end], low)
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    far = np.flatnonzero(label != np.arange(len(nodes)))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(nodes[label[far]])], names=["a", "b"])
+
+
 def components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame] = settled) -> DataFrame:
     """(node, component) for edges (a, b) of longs: the smallest node that is reachable, for every node with an edge.
 
@@ -30,7 +56,8 @@ def components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame] = settle
     the smallest of them.  Minima are aggregated before the shuffle; the edges
     of one hub meet its minimum in a join of rows of 16 bytes, which adaptive
     execution splits where they are many.  Every round ends in `keep`, which
-    cuts the lineage.  A self-loop keeps a node in the result; no edges give no
+    cuts the lineage; once no more than FEW edges are left, one task ends the
+    search, with the same result.  A self-loop keeps a node in the result; no edges give no
     rows; nulls are ignored.
     """
     edges = edges.where("a is not null and b is not null")
@@ -42,6 +69,9 @@ def components(edges: DataFrame, keep: Callable[[DataFrame], DataFrame] = settle
         if state[0] == 0 or state == before:
             break
         before = state
+        if state[0] <= FEW:
+            now = keep(now.coalesce(1).mapInArrow(_solved, "a long, b long"))
+            break
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()

@@ -27,20 +27,22 @@ def unshared(jumps: DataFrame) -> DataFrame:
     """Without the jumps of addresses that two aircraft share: four or more whose ends lie in exactly two clusters, taken greedily in time order.
 
     The greedy centres are found one after the other: the first end, the first
-    one far from it, the first one far from both.  Each is a minimum that is
-    aggregated before the shuffle, so no aircraft's ends are gathered.
+    one far from it, the first one far from both.  Each is a minimum over the
+    aircraft's jumps, which the search for jumps has brought together and in
+    order already; nothing is gathered and no row moves again.
     """
-    order = [F.col("after.ts").alias("ts"), F.col("before.lat").alias("lat0"), F.col("before.lon").alias("lon0"), F.col("after.lat").alias("lat1"), F.col("after.lon").alias("lon1")]
-    end = lambda i, side: F.struct(*order, F.lit(i).alias("side"), F.col(f"{side}.lat").alias("lat"), F.col(f"{side}.lon").alias("lon"))
-    many = jumps.groupBy("icao24").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_JUMPS_FOR_SHARED).select("icao24")
-    ends = jumps.join(many, "icao24", "left_semi").select("icao24", F.explode(F.array(end(0, "before"), end(1, "after"))).alias("e"))
-    far = lambda c: haversine_nm(F.col("e.lat"), F.col("e.lon"), F.col(f"{c}.lat"), F.col(f"{c}.lon")) > CLUSTER_NM
-    one = ends.groupBy("icao24").agg(F.min("e").alias("c1"))
-    away = ends.join(one, "icao24").where(far("c1"))
-    two = away.groupBy("icao24").agg(F.min("e").alias("c2"))
-    three = away.join(two, "icao24").where(far("c2")).select("icao24")
-    shared = two.join(three, "icao24", "left_anti")
-    return jumps.join(shared, "icao24", "left_anti")
+    own = Window.partitionBy("icao24")
+    order = ("after.ts", "before.lat", "before.lon", "after.lat", "after.lon")
+    end = lambda i, side: F.struct(*(F.col(c).alias(f"o{k}") for k, c in enumerate(order)), F.lit(i).alias("o5"), F.col(f"{side}.lat").alias("lat"), F.col(f"{side}.lon").alias("lon"))
+    far = lambda e, c: haversine_nm(e["lat"], e["lon"], F.col(f"{c}.lat"), F.col(f"{c}.lon")) > CLUSTER_NM
+    first, last = end(0, "before"), end(1, "after")
+    away = lambda e: F.when(far(e, "_c1"), e)
+    j = jumps.withColumns({"_n": F.count("*").over(own), "_c1": F.min(first).over(own)})
+    j = j.withColumn("_c2", F.min(F.least(away(first), away(last))).over(own))
+    third = (far(first, "_c1") & far(first, "_c2")) | (far(last, "_c1") & far(last, "_c2"))
+    j = j.withColumn("_c3", F.max(F.coalesce(third, F.lit(False))).over(own))
+    shared = (F.col("_n") >= MIN_JUMPS_FOR_SHARED) & F.col("_c2").isNotNull() & ~F.col("_c3")
+    return j.where(~shared).drop("_n", "_c1", "_c2", "_c3")
 
 
 def sessions(jumps: DataFrame) -> DataFrame:

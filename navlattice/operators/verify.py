@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import grid
 from . import avionics, geo, rollup
+from .graph import settled
 from .regions import Box
 
 KEYS = ["hour", "h3", "icao24"]
@@ -41,11 +42,11 @@ def inner_cells(hourly: DataFrame, box: Box) -> DataFrame:
 
 def verify_day(stored: DataFrame, positions: DataFrame, box: Box) -> DataFrame:
     """One row: the cells and rows compared inside the box, the differences from the rollup of the positions, and whether the faulty aircraft are the same."""
-    cells = inner_cells(stored, box)
-    again = rollup.rollup(positions)
+    cells, again = settled(inner_cells(stored, box)), settled(rollup.rollup(positions))
     found = compare(keep_cells(stored, cells), keep_cells(again, cells), [c for c in stored.columns if c not in KEYS])
-    mine, fresh = (avionics.verdicts(h).where("faulty").select("icao24") for h in (stored, again))
-    other = mine.join(fresh, "icao24", "left_anti").count() + fresh.join(mine, "icao24", "left_anti").count()
     one = F.lit(1).alias("_one")
     n = cells.agg(F.count("*").alias("cells_compared")).select("*", one)
-    return found.select("*", one).join(n, "_one").select("cells_compared", "only_stored", "only_recomputed", "different", "equal", F.lit(other == 0).alias("avionics_same"))
+    mine, fresh = (avionics.verdicts(h).where("faulty").select("icao24", F.lit(side).alias("side")) for h, side in ((stored, 1), (again, 2)))
+    sides = mine.unionByName(fresh).groupBy("icao24").agg(F.sum("side").alias("sides"))
+    same = sides.agg((F.count_if(F.col("sides") != 3) == 0).alias("avionics_same")).select("*", one)
+    return found.select("*", one).join(n, "_one").join(same, "_one").select("cells_compared", "only_stored", "only_recomputed", "different", "equal", "avionics_same")

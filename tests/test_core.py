@@ -142,3 +142,30 @@ def test_shared_addresses(spark):
     data = rows("two", [0.0, 5.0, 0.1, 5.1, 0.2]) + rows("three", [0.0, 5.0, 0.1, 10.0, 0.2]) + rows("few", [0.0, 5.0, 0.1, 5.1])
     df = spark.createDataFrame(data, f"icao24 string, before {shape}, after {shape}, dt_s double, dist_nm double, speed_kt double")
     assert {r.icao24 for r in jumps.unshared(df).select("icao24").distinct().collect()} == {"three", "few"}
+
+
+def test_components_by_rounds_and_at_once(spark, monkeypatch):
+    """Chains, stars and loops: the rounds and the single task end alike."""
+    import random
+
+    from navlattice.operators import graph
+
+    rnd = random.Random(2)
+    pairs = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 200)] + [(rnd.randrange(300, 380), rnd.randrange(300, 380)) for _ in range(60)] + [(None, 5)]
+    top = {x: x for p in pairs if None not in p for x in p}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in pairs:
+        if a is not None and find(a) != find(b):
+            x, y = sorted((find(a), find(b)))
+            top[y] = x
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    for few in (graph.FEW, 0):
+        monkeypatch.setattr(graph, "FEW", few)
+        got = {r.node: r.component for r in graph.components(edges).collect()}
+        assert got == {x: find(x) for x in top}
+    assert graph.components(edges.limit(0)).count() == 0
