@@ -178,28 +178,73 @@ def test_op4_links_are_all_links(spark, monkeypatch):
         assert max(want) > 20 and [got[i] for i in range(len(sets))] == want
 
 
-def test_decontamination(spark, sf):
-    pattern = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def check_contamination(rows, docs, items, window=13):
+    """rows against all windows of all items; docs: texts by id, items: (id, text) pairs."""
     windows = {}
-    for r in table(spark, sf, "benchmark").collect():
-        w = pattern.findall(lower(r.text or ""))
-        n = min(13, len(w))
-        for i in range(len(w) - n + 1 if n else 0):
-            windows.setdefault(tuple(w[i : i + n]), set()).add(str(r.item_id))
-    got = {r.doc_id: r for r in queries.op5_decontamination(spark, sf).collect()}
-    for i, t in texts(spark, sf).items():
-        w = pattern.findall(lower(t))
-        hit, items = set(), set()
-        for n in {len(k) for k in windows}:
+    for i, t in items:
+        w = WORD.findall(lower(t or ""))
+        n = min(window, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k : k + n]), set()).add(i)
+    sizes = {len(k) for k in windows}
+    got = {r.doc_id: r for r in rows}
+    assert len(got) == len(docs)
+    for i, t in docs.items():
+        found = [(m.start(), m.end()) for m in WORD.finditer(lower(t or ""))]
+        w = [lower(t)[a:z] for a, z in found]
+        hit, who = set(), set()
+        for n in sizes:
             for j in range(len(w) - n + 1):
-                who = windows.get(tuple(w[j : j + n]))
-                if who:
+                met = windows.get(tuple(w[j : j + n]))
+                if met:
                     hit.update(range(j, j + n))
-                    items |= who
+                    who |= met
+        names = sorted(str(x) for x in who if x is not None)
         r = got[i]
-        assert (r.n_words, r.n_hit, r.n_items) == (len(w), len(hit), len(items))
-        assert r.items_sha256 == hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+        assert (r.n_words, r.n_hit, list(r["items"])) == (len(w), len(hit), names)
+        assert r.items_sha256 == hashlib.sha256(",".join(names).encode()).hexdigest()
         assert r.contaminated == (len(hit) > 0 and 20 * len(hit) >= len(w))
+        at = lambda c: len(t[:c].encode())
+        spans = []
+        for j in sorted(hit):
+            if spans and spans[-1][2] == j - 1:
+                spans[-1][1:] = [at(found[j][1]), j]
+            else:
+                spans.append([at(found[j][0]), at(found[j][1]), j])
+        assert [(x.start, x.end) for x in r.spans] == [(a, z) for a, z, _ in spans]
+
+
+def test_decontamination(spark, sf):
+    items = [(r.item_id, r.text) for r in table(spark, sf, "benchmark").collect()]
+    found = decontamination.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).collect()
+    check_contamination(found, texts(spark, sf), items)
+    by_id = {r.doc_id: r for r in found}
+    for r in queries.op5_decontamination(spark, sf).collect():
+        f = by_id[r.doc_id]
+        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (f.n_words, f.n_hit, len(f["items"]), f.items_sha256, f.contaminated)
+
+
+def test_decontamination_with_few_words(spark, monkeypatch):
+    """Small vocabularies make long suffix chains, short items lie in long ones, several automata and short stretches give the same."""
+    import random
+
+    rnd = random.Random(4)
+    make = lambda n: " ".join(rnd.choice("ab") for _ in range(n))
+    items = [(i, make(rnd.choice((0, 1, 2, 3, 5, 6, 9, 14)))) for i in range(30) if i] + [(None, "a b a"), (99, None), (7, make(6)), (7, make(6))]
+    docs = {i: " ".join(rnd.choice("aabbcéA") for _ in range(rnd.randrange(60))) for i in range(80)} | {100: "a " * 2000, 101: "", 102: make(900)}
+    frame = spark.createDataFrame([(i, t, "clash") for i, t in docs.items()], "doc_id long, text string, items string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for few in (False, True):
+        if few:
+            items = [x for x in items if x[1] is None or len(x[1].split()) > 4]
+            bench = spark.createDataFrame(items, "item_id long, text string")
+        for words, stretch in ((2_000_000, 256), (5, 16)):
+            monkeypatch.setattr(decontamination, "BLOCK_WORDS", words)
+            monkeypatch.setattr(decontamination, "STRETCH", stretch)
+            check_contamination(decontamination.contamination(frame, bench, 6).collect(), docs, items, 6)
 
 
 def check_packing(rows, docs, window=2048):
@@ -307,11 +352,29 @@ def test_warc(spark, sf):
 
 
 def test_warc_odd(spark):
-    rows = [(1, None, "x" * 200), (2, "http://a/\r\nb", "x" * 200), (2, "u", None), (None, "u", "x" * 200), (5, "u", "")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = sorted(((r.page_id, r.record_type, r.refers_to) for r in warc.read_archives(warc.write_archives(warc.resolve(pages))).collect()), key=str)
-    assert got == sorted([(1, "response", None), (2, "revisit", 1), (2, "response", None), (None, "revisit", 1), (5, "response", None)], key=str)
-    assert warc.read_archives(warc.write_archives(warc.resolve(pages.limit(0)))).count() == 0
+    long = "é" * 3_000_000
+    rows = [(1, None, "x" * 200), (2, "http://a/\r\nb", "x" * 200), (2, "u", None), (None, "u", "x" * 200), (5, "u", ""), (1, "v", "x" * 200), (6, "w", long), (7, "w", long), (8, "w", "y\r\n\r\nz" * 20)]
+    pages = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id long, url string, html string, digest string, first int")
+    found = warc.read_archives(warc.write_archives(pages)).collect()
+    got = sorted(((r.page_id, r.record_type, r.refers_to) for r in found), key=str)
+    assert got == sorted([(1, "response", None), (1, "response", None), (2, "revisit", 1), (2, "response", None), (None, "revisit", 1), (5, "response", None), (6, "response", None), (7, "revisit", 6), (8, "response", None)], key=str)
+    assert {(r.payload_bytes, r.payload_digest) for r in found if r.page_id in (6, 7)} == {(6_000_000, hashlib.sha256(long.encode()).hexdigest())}
+    assert {r.payload_digest for r in found if r.page_id == 8} == {hashlib.sha256(rows[8][2].encode()).hexdigest()}
+    assert warc.read_archives(warc.write_archives(pages.limit(0))).count() == 0
+
+
+def test_warc_moves_no_payload(spark):
+    """No html is in an exchange, even where nothing can be broadcast."""
+    pages = spark.createDataFrame([(i, f"u{i}", "x" * 200) for i in range(50)], "page_id long, url string, html string")
+    known = warc.originals(pages)
+    assert known.of(hashlib.sha256(b"x" * 200).digest()) == (0, "u0") and known.of(hashlib.sha256(b"y").digest()) is None
+    paths = warc.write_archives(pages)
+    raw = b"".join(bytes(warc.mapped(r.path)) for r in paths.collect())
+    heads = [h for h, _ in warc.records(memoryview(raw))]
+    ids = {h["X-Page"]: h["WARC-Record-ID"] for h in heads if h["WARC-Type"] != "warcinfo"}
+    assert len(set(ids.values())) == 50
+    revisits = [h for h in heads if h["WARC-Type"] == "revisit"]
+    assert len(revisits) == 49 and all(h["WARC-Refers-To"] == ids["0"] and h["WARC-Refers-To-Target-URI"] == "u0" and "WARC-Refers-To-Date" in h for h in revisits)
 
 
 def test_language_and_quality(spark):
@@ -330,20 +393,77 @@ def test_language_and_quality(spark):
     assert right > 0.9 and accuracy > 0.8 and kept > 0.9
 
 
-def test_fingerprints(spark, sf):
-    docs = texts(spark, sf)
-    ids = sorted(docs)
-    got = {r.doc_id: r for r in queries.op10_fingerprints(spark, sf).collect()}
-    assert sorted(got) == ids
-    for a, i in enumerate(ids):
-        t, nxt = docs[i], docs[ids[(a + 1) % len(ids)]]
+def _mix64(x):
+    """The 64-bit finaliser, in plain integers."""
+    m = (1 << 64) - 1
+    for _ in range(2):
+        x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & m
+    return x ^ (x >> 32)
+
+
+def _hash64(raw):
+    """The polynomial hash of bytes, in plain integers."""
+    m, base, h = (1 << 64) - 1, 0x9E3779B97F4A7C15 | 1, 0
+    for k, c in enumerate(raw):
+        h = (h + (c + 1) * pow(base, k, 1 << 64)) & m
+    return _mix64((h + len(raw)) & m)
+
+
+def _plain_signature(text):
+    """LZ78 by a trie of nodes, and the 64 smallest of the upper halves of the phrases' hashes."""
+    trie, at, found, begin = {}, 0, set(), 0
+    for i, c in enumerate(text):
+        if (at, c) in trie:
+            at = trie[at, c]
+        else:
+            trie[at, c] = len(trie) + 1
+            found.add(text[begin : i + 1])
+            at, begin = 0, i + 1
+    # the open run at the end is a phrase that is known already
+    return sorted({_hash64(p.encode()) >> 32 for p in found})[:64]
+
+
+def _plain_likeness(a, b):
+    if not a and not b:
+        return 1.0
+    least = sorted(set(a) | set(b))[:64]
+    return sum(x in a and x in b for x in least) / len(least)
+
+
+def check_fingerprints(rows, docs):
+    """docs: ordered (doc_id, text) pairs with distinct ids."""
+    got = {r.doc_id: r for r in rows}
+    assert len(got) == len(rows) == len(docs)
+    text = lambda s: "".join(f"{x:08x}" for x in s)
+    for a, (i, t) in enumerate(docs):
+        nxt = docs[(a + 1) % len(docs)][1]
         half = len(t) // 2
         new = t[: len(t) - half] + nxt[:half]
         r = got[i]
         assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
-        s, e, n = (fingerprints.signature(fingerprints.phrases(x)) for x in (t, new, nxt))
-        assert (r.fingerprint, r.edited_fingerprint) == (s.astype(">u4").tobytes().hex(), e.astype(">u4").tobytes().hex())
-        assert r.near_edited == pytest.approx(fingerprints.likeness(s, e)) and r.near_next == pytest.approx(fingerprints.likeness(s, n))
+        s, e, n = map(_plain_signature, (t, new, nxt))
+        assert (r.fingerprint, r.edited_fingerprint) == (text(s), text(e))
+        assert r.near_edited == pytest.approx(_plain_likeness(s, e)) and r.near_next == pytest.approx(_plain_likeness(s, n))
+
+
+def test_fingerprints(spark, sf):
+    docs = sorted(texts(spark, sf).items())
+    check_fingerprints([r for r in queries.op10_fingerprints(spark, sf).collect()], docs)
+
+
+def test_fingerprints_over_ranges(spark):
+    """Few and many ranges, hot ids and null ids: every row has the next of the order as its neighbour."""
+    docs = [(i * 7 - 50, f"text {i} " * (i % 9)) for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for n in (1, 2, 13, 200):
+        check_fingerprints(fingerprints.fingerprints(frame, n).collect(), docs)
+    hot = [(None, f"null {i}") for i in range(40)] + [(5, f"five {i}") for i in range(40)] + [(5, "same")] * 20 + [(i, f"t{i}") for i in range(6, 40)]
+    want = None
+    for n in (1, 7, 50):
+        rows = fingerprints.fingerprints(spark.createDataFrame(hot, "doc_id long, text string"), n).collect()
+        found = sorted(((r.doc_id, r.n_chars, r.fingerprint, r.edited_sha256, r.near_next) for r in rows), key=str)
+        assert len(found) == len(hot) and (want is None or found == want)
+        want = found
 
 
 def test_odd_rows(spark):
