@@ -17,7 +17,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import avionics, events, export, jumps, regions, reports, rollup, serve, store, verify
+from .operators import avionics, calibrate, events, export, jumps, regions, reports, rollup, serve, store, verify
 from .plans import backfill
 from .sources import archive, days, dimensions, files, ingest, live
 from .sources.archive import NotPublished
@@ -250,6 +250,39 @@ def process_days(spark: SparkSession, args) -> int:
     return DIFFERENT if told["failed"] else OK
 
 
+def calibrate_command(spark: SparkSession, args) -> int:
+    """What the thresholds make of all archived days."""
+    found = None
+    for day in sorted(days.archived(args.archive, SOURCE, args.start, args.end or dt.date.today())):
+        hourly = events.settled(spark.read.parquet(f"{days.day_dir(args.archive, SOURCE, day)}/{days.HOURLY}"))
+        part, chance = calibrate.day_events(hourly, str(day))
+        print(chance.first().asDict())
+        part = events.settled(part)
+        found = part if found is None else found.unionByName(part)
+    if found is not None:
+        for name, table in calibrate.report(found).items():
+            print(name, [r.asDict() for r in table.collect()])  # some rows each
+    return OK
+
+
+def build_airports(spark: SparkSession, args) -> int:
+    files.write_documents(dimensions.airport_features(dimensions.airports(dimensions.read_airports(spark, args.input))), args.out).count()
+    return OK
+
+
+def build_places(spark: SparkSession, args) -> int:
+    land = dimensions.geojson_shapes(spark, files.get(args.countries).decode(), "country", "NAME", "NAME_TR")
+    seas = dimensions.geojson_shapes(spark, files.get(args.seas).decode(), "sea", "name", "name_tr", land.count())
+    files.put(f"{args.out}/places.json", dimensions.document(dimensions.places(land.unionByName(seas), dimensions.MERGED), "places", args.source).encode())
+    return OK
+
+
+def build_firs(spark: SparkSession, args) -> int:
+    shapes = dimensions.fir_shapes(spark, files.get(args.shp), files.get(args.dbf))
+    files.put(f"{args.out}/firs.json", dimensions.document(dimensions.regions(shapes), "firs", args.source).encode())
+    return OK
+
+
 def migrate(spark: SparkSession, args) -> int:
     print(store.migrate(spark, args.database), "statements")
     return OK
@@ -289,6 +322,11 @@ def parser() -> argparse.ArgumentParser:
     command("matrix", matrix, folder, *span, ("--chunk", {"type": int, "default": backfill.CHUNK_DAYS}), ("--parallel", {"type": int}))
     command("process-days", process_days, folder, bbox, world, ("days", {"nargs": "+"}), ("--pattern", {"required": True}), ("--to", {}), ("--restore", {"action": "store_true"}), ("--budget", {"type": float, "default": backfill.BUDGET_S}))
     command("migrate", migrate, database)
+    command("calibrate", calibrate_command, folder, *span)
+    out, source = ("--out", {"required": True}), ("--source", {"default": ""})
+    command("build-airports", build_airports, ("input", {}), out)
+    command("build-places", build_places, ("countries", {}), ("seas", {}), out, source)
+    command("build-firs", build_firs, ("shp", {}), ("dbf", {}), out, source)
     return p
 
 

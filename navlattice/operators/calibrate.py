@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import grid, stats
 from ..schema import BACKGROUND_RATE, MIN_AIRCRAFT
+from . import avionics, events, serve
 
 # Fixed values.
 REPEAT_DAYS, CANDIDATES = 5, (1, 2, 3, 4, 5, 8)
@@ -54,3 +55,19 @@ def candidates(repeated: DataFrame) -> DataFrame:
     """For each candidate of the least number of aircraft: events, and the share of them that come back on REPEAT_DAYS days or more."""
     each = repeated.withColumn("least", F.explode(F.array(*map(F.lit, CANDIDATES)))).where("affected_aircraft >= least")
     return each.groupBy("least").agg(F.count("*").alias("events"), F.round(F.avg((F.col("days") >= REPEAT_DAYS).cast("double")), 6).alias("repeated"))
+
+
+def day_events(hourly: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+    """A day's events of one affected aircraft or more, without faulty ones, and its hot cell-hours beside the chance ones."""
+    sound = events.settled(serve.without(hourly, avionics.verdicts(hourly).where("faulty")))
+    return events.jamming_events(sound, 1).withColumn("day", F.lit(day)), expected_hot(events.nodes(sound)).select(F.lit(day).alias("day"), "hot", "expected")
+
+
+def report(found: DataFrame) -> dict[str, DataFrame]:
+    """Tables over the events of several days: candidates, quantiles, and counts by confidence, scale and level of the whole event, with the share that comes back."""
+    r = events.settled(repeats(found))
+    n, k = F.col("data_coverage.aircraft_observed"), F.col("affected_aircraft")
+    back = F.round(F.avg((F.col("days") >= REPEAT_DAYS).cast("double")), 6).alias("repeated")
+    count = lambda column, name: r.groupBy(column.alias(name)).agg(F.count("*").alias("events"), back)
+    large = r.agg(F.count_if(F.size("cells") >= 40).alias("large"), F.max(F.size("cells")).alias("most_cells"))
+    return {"candidates": candidates(r), "observed": observed_quantiles(r), "confidence": count(stats.confidence(n, k), "confidence"), "scale": count(F.col("scale"), "scale"), "level": count(stats.level(n, k), "level"), "cells": large}

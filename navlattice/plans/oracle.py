@@ -229,7 +229,7 @@ tl AS (SELECT *, last_value(CASE WHEN det THEN {{'t': 1704067200e0+ts_ms/1000e0,
         "trace_reports": f"WITH {trace.replace('SELECT icao24, ts_ms, lat', 'SELECT icao24, ts_ms-1704067200000 AS ts_ms, lat', 1).replace('ts_ms%4=0 AS det', '(ts_ms-1704067200000)%4=0 AS det')} SELECT CAST(floor(t*1000) AS BIGINT) AS ts_ms, icao24, lat, lon, CASE WHEN NOT on_ground THEN CAST(alt AS DOUBLE) END AS alt, on_ground, cs AS callsign, CASE WHEN t-d.t<=60 THEN d.nic END AS nic, CASE WHEN t-d.t<=60 THEN d.nac_p END AS nac_p, round(CASE WHEN t-d.t<=60 THEN round(t-d.t,2) END,2) AS nic_age_s, CASE WHEN ts_ms%7=0 THEN 'adsblol:unknown' ELSE 'adsblol:adsb_icao' END AS source, anonymous FROM tl",
         "live_snapshot": "WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events), a AS (SELECT CAST(event_id//200 AS INT) AS snapshot_id, event_id%3 AS circle, event_id, lower(hex(user_id%40)) AS icao24, 28+(event_id*7919)%2500/100e0 AS lat, 15+(event_id*104729)%4000/100e0 AS lon, k, event_type, user_id FROM e WHERE k<>7 AND k*0.75e0<=60 QUALIFY row_number() OVER (PARTITION BY event_id//200, user_id%40 ORDER BY event_id%3, event_id)=1) SELECT snapshot_id, CAST(floor((1704067200e0+snapshot_id*90-k*0.75e0)*1000) AS BIGINT) AS ts_ms, icao24, round(lat,6) AS lat, round(lon,6) AS lon, CASE WHEN event_type<>'signup' THEN CAST(event_id%40000 AS DOUBLE) END AS alt, concat('F', user_id) AS callsign, CASE WHEN k%3<>0 THEN k%12 END AS nic, CASE WHEN k%5=0 THEN 'adsblol:unknown' ELSE 'adsblol:adsb_icao' END AS source, event_type='signup' AS on_ground, ((k%9)&12)<>0 AS anonymous FROM a WHERE lat BETWEEN 28 AND 48 AND lon BETWEEN 16 AND 52",
         "box_circles": f"WITH r AS (SELECT 28e0+(i+0.5e0)*{high!r}e0 AS lat, i FROM range(0, CAST(ceil(20e0/{high!r}e0) AS BIGINT)) t(i)), c AS (SELECT i, lat, {high!r}e0/greatest(cos(radians(lat)),0.1e0) AS wide FROM r), l AS (SELECT i, lat, wide, unnest(range(0, CAST(ceil(32e0/wide) AS BIGINT))) AS j FROM c) SELECT row_number() OVER (ORDER BY i, j)-1 AS circle, round(lat,3) AS lat, round(20e0+(j+0.5e0)*wide,3) AS lon FROM l",
-        "airports": "WITH c AS (SELECT concat('K', c_custkey) AS ident, c_custkey AS k, c_name AS name, 20+(c_custkey*37)%4000/100e0 AS lat, 10+(c_custkey*91)%6000/100e0 AS lon, c_mktsegment AS city FROM customer WHERE c_custkey%50<>0) SELECT CASE WHEN k%5=0 THEN ident ELSE concat('Q', k) END AS icao, CAST(NULL AS VARCHAR) AS iata, name, city, round(lat,4) AS lat, round(lon,4) AS lon, CASE k%4 WHEN 0 THEN 'large' ELSE 'medium' END AS size FROM c WHERE k%4 IN (0,1) AND k%3<>0 AND lon BETWEEN 15 AND 57 AND lat BETWEEN 24 AND 52",
+        "airports": "WITH c AS (SELECT concat('K', c_custkey) AS ident, c_custkey AS k, c_name AS name, 20+(c_custkey*37)%4000/100e0 AS lat, 10+(c_custkey*91)%6000/100e0 AS lon, c_mktsegment AS country FROM customer WHERE c_custkey%50<>0) SELECT CASE WHEN k%5=0 THEN ident ELSE concat('Q', k) END AS icao, '' AS iata, name, country, round(lat,4) AS lat, round(lon,4) AS lon, CASE k%4 WHEN 0 THEN 'large' ELSE 'medium' END AS kind FROM c WHERE k%4 IN (0,1) AND k%3<>0 AND lon BETWEEN 15 AND 57 AND lat BETWEEN 24 AND 52",
         "day_plan": "WITH d AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-03-31', INTERVAL 1 DAY)) AS DATE) AS day), n AS (SELECT day, dayofyear(day) AS n FROM d) SELECT day, CASE WHEN n%2=0 THEN 'export' ELSE 'process' END AS mode FROM n WHERE NOT (n%2=0 AND n%3=0) AND NOT (n%5=0 AND n%4+1>=3 AND n%7<3)",
         "days_missing": "WITH d AS (SELECT CAST(unnest(generate_series(DATE '2024-01-25', DATE '2024-02-10', INTERVAL 1 DAY)) AS DATE) AS day) SELECT day, strftime(day, '%Y-%m') AS month FROM d WHERE dayofmonth(day)%3<>0",
     }

@@ -370,7 +370,7 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The airport rules over rows made of customers."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
         "concat('K', c_custkey) as ident", "element_at(array('large_airport', 'medium_airport', 'small_airport', 'heliport'), cast(c_custkey % 4 + 1 as int)) as type", "c_name as name", "cast(20 + (c_custkey * 37) % 4000 / 100e0 as string) as latitude_deg",
-        "if(c_custkey % 50 = 0, 'x', cast(10 + (c_custkey * 91) % 6000 / 100e0 as string)) as longitude_deg", "if(c_custkey % 3 = 0, 'no', 'yes') as scheduled_service", "if(c_custkey % 5 = 0, '', concat('Q', c_custkey)) as icao_code", "'' as iata_code", "c_mktsegment as municipality")
+        "if(c_custkey % 50 = 0, 'x', cast(10 + (c_custkey * 91) % 6000 / 100e0 as string)) as longitude_deg", "if(c_custkey % 3 = 0, 'no', 'yes') as scheduled_service", "if(c_custkey % 5 = 0, '', concat('Q', c_custkey)) as icao_code", "'' as iata_code", "c_mktsegment as iso_country")
     return dimensions.airports(c)
 
 

@@ -232,15 +232,72 @@ def test_serving_tables(spark, sf):
         spark.sql("DROP DATABASE IF EXISTS nav_test CASCADE")
 
 
+RING = [(0.0, 0.0), (0.001, 0.001), (0.0, 5.0), (5.0, 5.0), (5.0, 0.0), (0.0, 0.0)]  # clockwise
+HOLE = [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0), (1.0, 1.0)]
+SPECK = [(3.0, 3.0), (3.0, 3.001), (3.001, 3.001), (3.0, 3.0)]
+
+
 def test_dimensions(spark):
-    ring = [(0.0, 0.0), (0.001, 0.001), (0.0, 5.0), (5.0, 5.0), (5.0, 0.0), (0.0, 0.0)]  # clockwise
-    hole = [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0), (1.0, 1.0)]
-    speck = [(3.0, 3.0), (3.0, 3.001), (3.001, 3.001), (3.0, 3.0)]
-    rows = [(0, "AAAA", "Alpha", [ring, hole, speck]), (1, "NOPE", "None", [ring]), (2, "AAAA", "Alpha two", [[(x + 10, y) for x, y in ring]])]
-    shapes = spark.createDataFrame(rows, f"ord int, icao string, name string, rings array<{dimensions.POINTS}>")
-    (r,) = dimensions.regions(shapes, ("NOPE",), (-1.0, -1.0, 20.0, 20.0)).collect()
-    assert (r.id, r.name, r.minx, r.maxx) == ("AAAA", "Alpha", 0.0, 15.0)
-    assert [len(p) for p in r.polygons] == [2, 1] and len(r.polygons[0][0]) == 5 and r.area == pytest.approx(50.0)
+    rows = [(0, "AAAAFIR", "ALPHA FIR", [RING, HOLE, SPECK]), (1, "OOOOFIR", "None", [RING]), (2, "BBBBFIR", "BETA BAY UIR", [[(x + 10, y) for x, y in RING], [(x + 90, y) for x, y in RING]]), (3, "CCCCUIR", "Gamma", [RING])]
+    shapes = spark.createDataFrame(rows, f"ord int, code string, name string, rings array<{dimensions.POINTS}>")
+    a, b = dimensions.regions(shapes, box=(-1.0, -1.0, 20.0, 20.0)).orderBy("ord").collect()
+    assert (a.id, a.name, a.minx, a.maxx, b.id, b.name, b.minx, b.maxx) == ("AAAA", "Alpha", 0.0, 5.0, "BBBB", "Beta Bay", 10.0, 15.0)
+    assert [len(p) for p in a.polygons] == [2] and len(a.polygons[0][0]) == 5 and a.area == pytest.approx(25.0) and len(b.polygons) == 1
+
+
+def test_shapefile(spark, tmp_path):
+    import struct
+
+    def record(number, rings):
+        points = [xy for r in rings for xy in r]
+        starts = [sum(map(len, rings[:i])) for i in range(len(rings))]
+        body = struct.pack("<i4d2i", 5, 0, 0, 0, 0, len(rings), len(points)) + struct.pack(f"<{len(rings)}i", *starts) + b"".join(struct.pack("<2d", *xy) for xy in points)
+        return struct.pack(">2i", number, len(body) // 2) + body
+
+    north = lambda r: [(x + 30, y + 40) for x, y in r]
+    shp = b"\0" * 100 + record(1, [north(RING), north(HOLE)]) + struct.pack(">2i", 2, 2) + struct.pack("<i", 0)
+    fields = b"".join(n.ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([w]) + b"\0" * 15 for n, w in ((b"AV_AIRSPAC", 8), (b"AV_NAME", 12))) + b"\r"
+    dbf = struct.pack("<4BIHH", 3, 0, 0, 0, 2, 32 + len(fields), 21) + b"\0" * 20 + fields + b" AAAAFIR ALPHA FIR   " + b" BBBBFIR BETA        "
+    (tmp_path / "a.shp").write_bytes(shp)
+    (tmp_path / "a.dbf").write_bytes(dbf)
+    assert cli.main(["build-firs", str(tmp_path / "a.shp"), str(tmp_path / "a.dbf"), "--out", str(tmp_path)], spark) == cli.OK
+    (r,) = dimensions.read_places(spark, str(tmp_path / "firs.json")).collect()
+    assert (r.kind, r.id, r.name, r.minx, r.area) == ("fir", "AAAA", "Alpha", 30.0, pytest.approx(25.0)) and len(r.polygons[0]) == 2
+
+
+def test_places_and_airports(spark, tmp_path):
+    north = lambda r: [[x + 30, y + 40] for x, y in r]
+    feature = lambda props, kind, c: {"properties": props, "geometry": {"type": kind, "coordinates": c}}
+    land = [feature({"NAME": "Turkey", "NAME_TR": "T"}, "Polygon", [north(RING)]), feature({"NAME": "Far", "NAME_TR": "F"}, "MultiPolygon", [[[[x + 100, y] for x, y in RING]]]), feature({"NAME": "Tiny", "NAME_TR": None}, "Polygon", [north(SPECK)])]
+    seas = [feature({"name": "Sea", "name_tr": "Deniz"}, "MultiPolygon", [[north(RING)], [north(HOLE)]])]
+    for name, features in (("land", land), ("seas", seas)):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"features": features}))
+    assert cli.main(["build-places", str(tmp_path / "land.json"), str(tmp_path / "seas.json"), "--out", str(tmp_path)], spark) == cli.OK
+    got = dimensions.read_places(spark, str(tmp_path / "places.json")).orderBy("ord").collect()
+    assert [(r.kind, r.id, r.name, len(r.polygons)) for r in got] == [("country", "Türkiye", "T", 1), ("sea", "Sea", "Deniz", 2)]
+    (tmp_path / "a.csv").write_text('ident,type,name,latitude_deg,longitude_deg,scheduled_service,icao_code,iata_code,iso_country\nX1,medium_airport,"B, ""b""",41.00001,29,yes,,,TR\nX2,large_airport,A,41,29,yes,LTXX,IST,TR\nX3,large_airport,C,41,29,no,,,TR\nX4,heliport,D,41,29,yes,,,TR\nX5,large_airport,E,bad,29,yes,,,TR\n')
+    assert cli.main(["build-airports", str(tmp_path / "a.csv"), "--out", str(tmp_path)], spark) == cli.OK
+    found = json.loads((tmp_path / "airports.geojson").read_text())["features"]
+    assert [(f["properties"]["icao"], f["properties"]["name"], f["geometry"]["coordinates"]) for f in found] == [("LTXX", "A", [29.0, 41.0]), ("X1", 'B, "b"', [29.0, 41.0])]
+
+
+def test_calibration(spark, sf, tmp_path, capsys):
+    """Two days of equal events: each comes back on one other day."""
+    import datetime
+
+    from navlattice.operators import calibrate
+
+    p = fixtures.positions(spark, sf)
+    later = p.withColumn("ts", F.col("ts") + F.expr("interval 1 day"))
+    for d, x in ((DAY, p), (DAY + datetime.timedelta(days=1), later)):
+        days.write_day(x, rollup.rollup(x), str(tmp_path), cli.SOURCE, d)
+    found = [calibrate.day_events(spark.read.parquet(f"{days.day_dir(str(tmp_path), cli.SOURCE, DAY + datetime.timedelta(days=i))}/hourly"), str(i)) for i in (0, 1)]
+    r = calibrate.repeats(found[0][0].unionByName(found[1][0])).collect()
+    assert r and {x.days for x in r} == {1}
+    assert found[0][1].first()["hot"] == found[1][1].first()["hot"] > 0
+    assert cli.main(["calibrate", "--archive", str(tmp_path), "--end", "2024-01-05"], spark) == cli.OK
+    out = capsys.readouterr().out
+    assert all(k in out for k in ("candidates", "observed", "confidence", "scale", "level", "cells"))
 
 
 def test_regions(spark):
