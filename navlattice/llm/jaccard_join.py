@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from . import textvec as tv
-from .common import blob, find, map_texts, mapped, put, shards, shared_dir, slices, totals, written
+from .common import blob, done, find, map_texts, mapped, put, shards, shared_dir, slices, totals, written
 from .graph import components
 
 U64 = np.uint64
@@ -575,13 +575,12 @@ def _degrees(members: DataFrame, percent: int) -> DataFrame:
         folder = shared_dir(spark, "pivots")
         luck = (F.xxhash64(F.col("node"), F.lit(level)).cast("double") / 2.0**64) + 0.5
         chosen = rest.where(luck * F.col("weight") <= mine * PIVOTS).select("region", "node", "grams", F.lit(None).cast("long").alias("label"))
-        chosen.groupBy("region").applyInArrow(_write_pivots(folder), "region long").write.parquet(shared_dir(spark, "pivots-done"))
-        have = _done(spark, folder)
-        if level == 7 or not have:
+        have = written(chosen.groupBy("region").applyInArrow(_write_pivots(folder), "region long"), "pivots-done")
+        if level == 7 or have.isEmpty():
             out.append(_count_chunks(rest, percent))
             break
-        out.append(_count_chunks(rest.where(~F.col("region").isin(have)), percent))
-        celled = written(map_texts(rest.where(F.col("region").isin(have)).drop("weight", "n"), _to_homes(folder, percent), _CELLED), "celled")
+        out.append(_count_chunks(rest.join(have, "region", "left_anti"), percent))
+        celled = written(map_texts(rest.join(have, "region", "left_semi").drop("weight", "n"), _to_homes(folder, percent), _CELLED), "celled")
         sizes = celled.select("region", F.explode("cells.cell").alias("cell")).groupBy("region", "cell").count().groupBy("region").agg(F.max("count").alias("most"))
         stuck = written(sizes.join(heavy, "region").where(F.col("most") > 0.7 * F.col("n")).select("region"), "stuck")
         out.append(_count_chunks(celled.join(stuck, "region").drop("cells"), percent))
@@ -625,12 +624,11 @@ def _links(members: DataFrame, percent: int) -> DataFrame:
         before = total
         folder = shared_dir(spark, "pivots")
         luck = (F.xxhash64(F.col("node"), F.lit(level)).cast("double") / 2.0**64) + 0.5
-        rest.where(luck * F.col("weight") <= mine * PIVOTS).drop("weight").groupBy("region").applyInArrow(_write_pivots(folder), "region long").write.parquet(shared_dir(spark, "pivots-done"))
-        have = _done(spark, folder)
-        if not have:
+        have = written(rest.where(luck * F.col("weight") <= mine * PIVOTS).drop("weight").groupBy("region").applyInArrow(_write_pivots(folder), "region long"), "pivots-done")
+        if have.isEmpty():
             break
-        out.append(_chunks(rest.where(~F.col("region").isin(have)), percent))
-        chosen = rest.where(F.col("region").isin(have)).drop("weight")
+        out.append(_chunks(rest.join(have, "region", "left_anti"), percent))
+        chosen = rest.join(have, "region", "left_semi").drop("weight")
         labelled = written(map_texts(chosen, _to_cells(folder, percent), _LABELLED), "labelled")
         out.append(labelled.select(F.explode("a").alias("a"), F.col("node").alias("b")).where("a <> b"))
         cells = written(_unfinished(labelled).select(F.explode("cells").alias("region"), "node", "grams", "label"), "cells")
@@ -675,7 +673,7 @@ def _join(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     wanted = region.join(texts, "node").select("doc_id", "node", F.col("component").alias("region"), F.pmod("node", F.lit(parts)).cast("int").alias("shard"))
     folder = shared_dir(spark, "wanted")
     wanted.groupBy("shard").applyInArrow(_write_wanted(folder), "shard int").write.parquet(shared_dir(spark, "wanted-done"))
-    members = written(map_texts(docs, _with_sets(n, Shards(folder, parts, 32), set(_done(spark, folder))), _MEMBER), "members")
+    members = written(map_texts(docs, _with_sets(n, Shards(folder, parts, 32), set(map(int, done(folder)))), _MEMBER), "members")
     links = written(_links(members, percent), "links")
     return rows, members, links
 
@@ -702,15 +700,15 @@ def _write_kept(folder: str):
 GONE, STAYS, REPEATED = 0, 1, 2
 
 
-def _kept_rows(n: int, kept: Shards, present: set[int], repeated: bool):
-    """The rows that stay: those of no group and a group's only one, or else (repeated) the equal rows of which one stays, with their set."""
+def _kept_rows(n: int, kept: Shards, present: set[int], repeated: str | None = None):
+    """The rows that stay: those of no group and a group's only one, or else the equal rows of which one stays, with their set in a column named `repeated`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             gram, at = shingle_sets(batch.column("text").cast(pa.string()).fill_null(""), n)
             digest, doc = digests(gram, at), batch.column("doc_id").cast(pa.int64())
             known, doc = doc.is_valid().to_numpy(zero_copy_only=False), doc.fill_null(0).to_numpy()
-            stays = np.full(len(digest), not repeated)
+            stays = np.full(len(digest), repeated is None)
             shard = digest % kept.parts
             for p in np.unique(shard).tolist():
                 if p in present:
@@ -721,7 +719,7 @@ def _kept_rows(n: int, kept: Shards, present: set[int], repeated: bool):
                     mine, k = mine[k >= 0], k[k >= 0]
                     own = (rest[1, k] == known[mine]) & (rest[0, k] == doc[mine])
                     stays[mine] = own & (rest[2, k] == (REPEATED if repeated else STAYS))
-            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest)], names=[*batch.schema.names, "_set"]) if repeated else batch
+            out = pa.RecordBatch.from_arrays([*batch.columns, pa.array(digest)], names=[*batch.schema.names, repeated]) if repeated else batch
             yield out.filter(pa.array(stays))
 
     return run
@@ -746,14 +744,17 @@ def one_of_each(documents: DataFrame, n: int, percent: int) -> DataFrame:
     groups = written(classes.drop("n").join(first, "component").select("node", "id", state.alias("state"), F.pmod("node", F.lit(parts)).cast("int").alias("shard")), "groups")
     folder = shared_dir(spark, "kept")
     groups.groupBy("shard").applyInArrow(_write_kept(folder), "shard int").write.parquet(shared_dir(spark, "kept-done"))
-    kept, present = Shards(folder, parts, 32), set(_done(spark, folder))
+    kept, present = Shards(folder, parts, 32), set(map(int, done(folder)))
     worded = documents.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     wordless = documents.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     known = F.col("doc_id").isNotNull()
-    out = map_texts(worded, _kept_rows(n, kept, present, False), documents.schema)
+    out = map_texts(worded, _kept_rows(n, kept, present), documents.schema)
     if groups.where(F.col("state") == REPEATED).head(1):
-        again = map_texts(worded, _kept_rows(n, kept, present, True), StructType([*documents.schema.fields, StructField("_set", LongType())]))
-        out = out.unionByName(again.dropDuplicates(["_set"]).select(own))
+        name = "_set"
+        while name in own:
+            name += "_"
+        again = map_texts(worded, _kept_rows(n, kept, present, name), StructType([*documents.schema.fields, StructField(name, LongType())]))
+        out = out.unionByName(again.dropDuplicates([name]).select(own))
     return out.unionByName(wordless.where(known).dropDuplicates(["doc_id", "text"])).unionByName(wordless.where(~known))
 
 
@@ -768,9 +769,3 @@ def _result(rows: DataFrame, links: DataFrame, degree: DataFrame) -> DataFrame:
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     out = rows.join(label, "node", "left").select("node", "doc_id", "n_shingles", own.alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
     return out.join(degree, "node", "left").select("doc_id", "n_shingles", "component_id", "class_id", F.coalesce("links", F.lit(0)).alias("links"))
-
-
-def _done(spark, folder: str) -> list[int]:
-    from .lm_scoring import _names
-
-    return sorted(int(x) for x in _names(folder) if "." not in x)
