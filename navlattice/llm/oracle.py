@@ -67,5 +67,46 @@ f AS (SELECT *, CASE WHEN payload_bytes>={least} THEN min(page_id) OVER (PARTITI
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first<>page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first<>page_id THEN first END AS refers_to FROM f"""
 
 
+def _held_out(mod: int) -> str:
+    """crc32 of the id as text, bit by bit: every byte goes in, then eight shifts."""
+    ops = "flatten(list_transform(range(1, length(id)+1), i -> list_concat([CAST(unicode(id[i]) AS BIGINT)], [-1,-1,-1,-1,-1,-1,-1,-1])))"
+    step = "CASE WHEN o>=0 THEN xor(c, o) WHEN c%2=1 THEN xor(c//2, 3988292384) ELSE c//2 END"
+    return f"(SELECT xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {ops}), lambda c, o: {step}), 4294967295)%{mod}=0 FROM (SELECT CAST(doc_id AS VARCHAR) AS id))".replace("i -> ", "lambda i: ")
+
+
+def _discounts(table: str, column: str) -> str:
+    n = [f"CAST(count(*) FILTER (WHERE {column}={i}) AS DOUBLE)" for i in (1, 2, 3, 4)]
+    y = "n1/(n1+2*n2)"
+    d = ", ".join(f"CASE WHEN least(n1,n2,n3,n4)=0 THEN 0.5e0 ELSE least(greatest({k}-{k + 1}*{y}*n{k + 1}/n{k}, 0.05e0), {k}) END AS d{k}" for k in (1, 2, 3))
+    return f"(SELECT {d}, n1, n2, more, total FROM (SELECT {', '.join(f'{x} AS n{i}' for i, x in enumerate(n, 1))}, CAST(count(*) FILTER (WHERE {column}>2) AS DOUBLE) AS more, coalesce(sum({column}), 0) AS total FROM {table}))"
+
+
+def _language_model() -> str:
+    d = lambda c, t: f"CASE {c} WHEN 0 THEN 0 WHEN 1 THEN {t}.d1 WHEN 2 THEN {t}.d2 ELSE {t}.d3 END"
+    return f"""WITH d AS (SELECT doc_id, {_held_out(10)} AS held_out, list_append(list_transform(regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+'), lambda x: 'w' || x), 'e') AS w FROM documents),
+tok AS (SELECT doc_id, held_out, unnest(w) AS w, unnest(list_prepend('s', w[1:len(w)-1])) AS u FROM d),
+cnt AS (SELECT w, count(*) AS c FROM tok WHERE NOT held_out GROUP BY w), pair AS (SELECT u, w, count(*) AS c FROM tok WHERE NOT held_out GROUP BY u, w),
+before AS (SELECT w, count(*) AS k FROM pair GROUP BY w), fol AS (SELECT u, sum(c) AS t, count(*) FILTER (WHERE c=1) AS f1, count(*) FILTER (WHERE c=2) AS f2, count(*) FILTER (WHERE c>2) AS f3 FROM pair GROUP BY u),
+a AS {_discounts('pair', 'c')}, b AS {_discounts('before', 'k')}, nv AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM cnt),
+low AS (SELECT t.w, coalesce(c, 0) AS c, CASE WHEN b.total=0 THEN 1e0/(v+1) ELSE greatest(coalesce(k, 0)-({d('coalesce(k, 0)', 'b')}), 0)/b.total+(b.d1*b.n1+b.d2*b.n2+b.d3*b.more)/b.total/(v+1) END AS low FROM (SELECT DISTINCT w FROM tok) t LEFT JOIN cnt ON cnt.w=t.w LEFT JOIN before ON before.w=t.w, b, nv),
+p AS (SELECT doc_id, held_out, low.c, log10((low.c+0.1e0)/(n+0.1e0*(v+1))) AS base, log10(CASE WHEN coalesce(t, 0)>0 THEN (greatest(coalesce(pair.c, 0)-({d('coalesce(pair.c, 0)', 'a')}), 0)+(a.d1*f1+a.d2*f2+a.d3*f3)*low)/t ELSE low END) AS score FROM tok JOIN low ON low.w=tok.w LEFT JOIN pair ON pair.u=tok.u AND pair.w=tok.w LEFT JOIN fol ON fol.u=tok.u, a, nv)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (WHERE c>0) AS n_known, CAST(any_value(n) AS BIGINT) AS train_tokens, round(sum(base), 6) AS base_score, round(sum(score), 6) AS score, round(pow(10, -sum(score)/count(*)), 3) AS perplexity FROM p, nv GROUP BY doc_id, held_out"""
+
+
+def _language(top: int = 300) -> str:
+    grams = "unnest(list_concat(list_transform(range(2, length(x)), lambda i: x[i]), list_transform(range(1, length(x)), lambda i: x[i:i+1]), list_transform(range(1, length(x)-1), lambda i: x[i:i+2])))"
+    order = "length(g), unicode(g), unicode(g[2:]), unicode(g[3:])"
+    return f"""WITH d AS (SELECT doc_id, lang, {_held_out(5)} AS held_out, regexp_extract_all(lower(coalesce(text, '')), '\p{{L}}+') AS words FROM documents),
+g AS (SELECT doc_id, lang, held_out, {grams} AS g FROM (SELECT doc_id, lang, held_out, ' ' || unnest(words) || ' ' AS x FROM d)),
+lg AS (SELECT lang, g, count(*) AS n FROM g WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang, g),
+profile AS (SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY n DESC, {order})-1 AS rank FROM lg QUALIFY rank<{top}),
+dg AS (SELECT doc_id, g, count(*) AS n FROM g GROUP BY doc_id, g),
+mine AS (SELECT doc_id, g, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, {order})-1 AS rank FROM dg QUALIFY rank<{top}),
+size AS (SELECT doc_id, count(*) AS m FROM mine GROUP BY doc_id),
+away AS (SELECT doc_id, l.lang, m, {top}*m+coalesce(sum(abs(p.rank-mine.rank)-{top}) FILTER (WHERE p.rank IS NOT NULL), 0) AS away FROM mine JOIN size USING (doc_id) CROSS JOIN (SELECT DISTINCT lang FROM profile) l LEFT JOIN profile p ON p.lang=l.lang AND p.g=mine.g GROUP BY doc_id, l.lang, m),
+best AS (SELECT * FROM away QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY away, lang)=1)
+SELECT d.doc_id, held_out, coalesce(best.lang, 'und') AS lang_pred, CASE WHEN best.lang IS NULL THEN 0e0 ELSE 1-CAST(away AS DOUBLE)/({top}*m) END AS score FROM d LEFT JOIN best USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": _urls(), "op4_jaccard_join": _join(), "op5_decontamination": _contaminated(), "op7_warc": _revisits()}
+    return {"op1_lm_scoring": _language_model(), "op3_url_filter": _urls(), "op4_jaccard_join": _join(), "op5_decontamination": _contaminated(), "op7_warc": _revisits(), "op8_language_id": _language()}

@@ -15,7 +15,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_scoring import lm_scores
 
-    return lm_scores(table(spark, sf_dir, "documents"))
+    scores = lm_scores(table(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"), F.round("score", 6).alias("score"), F.round("perplexity", 3).alias("perplexity"))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

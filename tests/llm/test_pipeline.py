@@ -106,3 +106,51 @@ def test_long_runs_are_searched_in_time():
     for text in ("%41" + "x" * 1_000_000, "\\u0041" + "x" * 1_000_000, "A" * 1_000_000, "a1" * 500_000, "a%41b\\x41" * 100_000):
         secrets.all_spans(text)
     assert time.process_time() - begin < 20
+
+
+def _first_of_groups(docs, percent=80, n=5):
+    """Plain version: one row, with the smallest id, of each group that links connect."""
+    sets = {i: frozenset(tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))) if (w := re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))) else None for i, t in docs.items()}
+    top = {i: i for i in docs}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    ids = sorted(docs)
+    for a, i in enumerate(ids):
+        for j in ids[a + 1 :]:
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                top[y] = x
+    return {i for i in ids if find(i) == i}
+
+
+def _contaminated(text, windows, word=re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")):
+    w = word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    hit = {k for n in {len(x) for x in windows} for j in range(len(w) - n + 1) if tuple(w[j : j + n]) in windows for k in range(j, j + n)}
+    return bool(hit) and 20 * len(hit) >= len(w)
+
+
+def test_run_against_plain_stages(spark, sf):
+    """The documents that reach the packed sequences, and their tokens, are those of plain versions of all stages."""
+    from navlattice.llm import packing
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    measured = quality.statistics(spark.read.parquet(f"{sf}/documents.parquet"))
+    good = {r.doc_id for r in quality.score(measured, quality.train(measured, spark.read.parquet(f"{sf}/labels.parquet"))).collect() if r.score >= 0.3}
+    docs = {i: t for i, t in docs.items() if i in good}
+    docs = {i: docs[i] for i in _first_of_groups(docs)}
+    windows = set()
+    for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect():
+        w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))
+        windows |= {tuple(w[k : k + min(13, len(w))]) for k in range(len(w) - min(13, len(w)) + 1) if w}
+    docs = {i: secrets.cover(t or "") for i, t in docs.items() if not _contaminated(t, windows)}
+    coder = packing.tokenizer(packing.default_tokenizer())
+    want = {i: len(coder.encode(t, add_special_tokens=False).ids) + 1 for i, t in docs.items()}
+    got = {}
+    for p in corpus_pipeline.run(spark, sf).collect():
+        assert p.doc_tokens == want[p.doc_id]
+        got[p.doc_id] = got.get(p.doc_id, 0) + p.length
+    assert got == want
