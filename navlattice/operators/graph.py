@@ -31,7 +31,8 @@ FEW = 50_000
 
 def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stars of the components of all edges of a task: labels spread along edges and jump to their labels' labels."""
-    a, b = (np.concatenate(x) for x in zip(*((batch.column(c).to_numpy() for c in "ab") for batch in batches), strict=True)) if (batches := list(batches)) else (np.zeros(0, np.int64),) * 2
+    pairs = [(batch.column("a").to_numpy(), batch.column("b").to_numpy()) for batch in batches]
+    a, b = (np.concatenate([np.zeros(0, np.int64), *(p[side] for p in pairs)]) for side in (0, 1))
     nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
     a, b = ends[: len(a)], ends[len(a) :]
     label = np.arange(len(nodes))

@@ -169,3 +169,13 @@ def test_components_by_rounds_and_at_once(spark, monkeypatch):
         got = {r.node: r.component for r in graph.components(edges).collect()}
         assert got == {x: find(x) for x in top}
     assert graph.components(edges.limit(0)).count() == 0
+
+
+def test_components_of_many_batches(spark):
+    """A chain and stars of more edges than one Arrow batch holds, solved at once."""
+    from navlattice.operators import graph
+
+    chain = spark.range(30_000).selectExpr("id as a", "id + 1 as b")
+    stars = spark.range(15_000).selectExpr("1000000 + id div 100 * 1000 as a", "1000001 + id div 100 * 1000 + id % 100 as b")
+    got = graph.components(chain.unionByName(stars)).groupBy("component").count()
+    assert sorted((r.component, r["count"]) for r in got.collect()) == [(0, 30_001)] + [(1_000_000 + 1000 * i, 101) for i in range(150)]
