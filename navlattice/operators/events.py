@@ -29,8 +29,12 @@ def event_id(kind: str, first_seen: Column, anchor: Column, extra: Column) -> Co
 
 def nodes(hourly: DataFrame) -> DataFrame:
     """Per (hour, cell): aircraft, affected ones, whether one of these is anonymous, and the level."""
-    a = by_aircraft(hourly, "hour", "h3")
-    n = a.groupBy("hour", "h3").agg(F.count("*").alias("n_total"), F.count_if("affected").alias("n_bad"), F.max(F.col("affected") & F.col("anonymous")).alias("anonymous"))
+    return nodes_of(by_aircraft(hourly, "hour", "h3"))
+
+
+def nodes_of(aircraft: DataFrame) -> DataFrame:
+    """The nodes of (hour, h3, icao24, affected, anonymous) rows."""
+    n = aircraft.groupBy("hour", "h3").agg(F.count("*").alias("n_total"), F.count_if("affected").alias("n_bad"), F.max(F.col("affected") & F.col("anonymous")).alias("anonymous"))
     return n.withColumn("level", stats.level(F.col("n_total"), F.col("n_bad")))
 
 
@@ -61,9 +65,10 @@ def _regions(cells: DataFrame, firs: DataFrame | None) -> DataFrame:
 
 def jamming_events(hourly: DataFrame, least: int = MIN_EVENT_AIRCRAFT, firs: DataFrame | None = None) -> DataFrame:
     """Events in the common schema, one for each component with `least` affected aircraft or more."""
-    h = settled(hot(nodes(hourly)))
+    aircraft = settled(by_aircraft(hourly, "hour", "h3").select("hour", "h3", "icao24", "affected", "anonymous"))
+    h = settled(hot(nodes_of(aircraft)))
     member = settled(h.join(components(h), "node"))
-    rows = by_aircraft(hourly, "hour", "h3").select("hour", "h3", "icao24", "affected").join(member.select("hour", "h3", "component"), ["hour", "h3"])
+    rows = aircraft.drop("anonymous").join(member.select("hour", "h3", "component"), ["hour", "h3"])
     per = rows.groupBy("component", "icao24").agg(F.max("affected").alias("affected")).groupBy("component").agg(F.count("*").alias("observed"), F.count_if("affected").alias("affected_aircraft"))
     cell = _regions(member.groupBy("component", "h3").agg(F.count("*").alias("hours")), firs)
     region = cell.groupBy("component").agg(F.min_by(F.struct("h3", "fir"), F.struct(-F.col("hours"), F.col("h3"))).alias("region"), F.sort_array(F.collect_list(grid.text(F.col("h3")))).alias("cells"), F.sort_array(F.collect_set("fir")).alias("firs"))
