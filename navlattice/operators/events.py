@@ -39,8 +39,7 @@ def nodes_of(aircraft: DataFrame) -> DataFrame:
 
 
 def hot(nodes: DataFrame) -> DataFrame:
-    id_ = F.shiftleft(F.floor(F.unix_seconds("hour") / 3600), 23).bitwiseOR(F.shiftleft(grid.row_of(F.col("h3")), 12)).bitwiseOR(grid.col_of(F.col("h3")))
-    return nodes.where("level in ('medium', 'high')").withColumn("node", id_)
+    return nodes.where("level in ('medium', 'high')").withColumn("node", grid.node(F.col("hour"), F.col("h3")))
 
 
 def edges(hot: DataFrame) -> DataFrame:
