@@ -14,7 +14,9 @@ key and what else stands around them; a base64 run is a message of its own.
 Base64 is read at all four alignments of a run, in the standard alphabet, the
 URL-safe one and both together, and over line ends.
 Compressed streams are opened wherever they begin in a decoded layer, all
-members of a stream end to end, at any depth.  A layer of over INFLATED bytes
+members of a stream end to end, at any depth; bare deflate has no mark and is
+tried where a base64 message begins.  Runs of two-byte ASCII, of either order,
+in a decoded layer become a layer of single bytes.  A layer of over INFLATED bytes
 goes on in an unlinked file that is mapped and searched whole like any other.
 
 Defined cases: null and empty texts have no spans; bytes that
@@ -51,9 +53,9 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 _IN_TEXT = (ASSIGN, ACCESS, HEX)
 _IN_BYTES = tuple(re.compile(p.pattern.encode()) for p in _IN_TEXT)
 
-_PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})")
-_ESCAPE = re.compile(rb"%([0-9A-Fa-f]{2})")
-_ESCAPED = re.compile(rb"(?:[!-\[\]-~]*(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};))+[!-\[\]-~]*")
+_PERCENT = re.compile(rb"%(?:[uU]([0-9A-Fa-f]{4})|([0-9A-Fa-f]{2}))")
+# characters of two bytes, the second or the first of them zero
+_WIDE = tuple(re.compile(x) for x in (rb"(?:[\x09\x0A\x0D\x20-\x7E]\x00){8,}", rb"(?:\x00[\x09\x0A\x0D\x20-\x7E]){8,}"))
 _ESCAPE = re.compile(rb"\\u([dD][89abAB][0-9A-Fa-f]{2})\\u([dD][c-fC-F][0-9A-Fa-f]{2})|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
 _BREAK = re.compile(rb"[\t\x20]*(?:\r?\n|(?:\\r)?\\n)[\t\x20]*")
@@ -82,8 +84,8 @@ def plain_spans(text, patterns=_IN_TEXT) -> list[tuple[str, int, int]]:
 class Layer:
     """Bytes between lo and hi of the original, with the places of each, which may be a function; without places each has the whole place."""
 
-    def __init__(self, raw, lo: int, hi: int, places: tuple[np.ndarray, np.ndarray] | Callable | None = None):
-        self.raw, self.lo, self.hi, self._places = raw, lo, hi, places
+    def __init__(self, raw, lo: int, hi: int, places: tuple[np.ndarray, np.ndarray] | Callable | None = None, message: bool = False):
+        self.raw, self.lo, self.hi, self._places, self.message = raw, lo, hi, places, message
 
     def places(self) -> tuple[np.ndarray, np.ndarray] | None:
         if callable(self._places):
@@ -202,7 +204,39 @@ def _replaced(layer: Layer, escape: re.Pattern, value: Callable[[re.Match], byte
 
 
 def _percent(m: re.Match) -> bytes:
-    return bytes([int(m[1], 16)])
+    if m[1]:
+        code = int(m[1], 16)
+        return bytes([code]) if code < 256 else chr(0xFFFD if 0xD800 <= code < 0xE000 else code).encode()
+    return bytes([int(m[2], 16)])
+
+
+def _narrow(layer: Layer) -> Iterator[Layer]:
+    """Runs of two-byte ASCII as single bytes."""
+    if layer.raw.find(b"\0") < 0:
+        return
+    for first, pattern in enumerate(_WIDE):
+        for m in pattern.finditer(layer.raw):
+            a, z = m.span()
+            places = layer.places()
+            if places is not None:
+                places = places[0][a:z:2].copy(), places[1][a + 1 : z : 2].copy()
+            yield Layer(bytes(m[0][first::2]), *layer.span(a, z), places)
+
+
+def _bare(layer: Layer) -> Iterator[Layer]:
+    """What a whole deflate stream without header holds."""
+    d, sink, view = zlib.decompressobj(-15), Sink(), memoryview(layer.raw)
+    try:
+        for at in range(0, len(view), PIECE):
+            sink.write(d.decompress(view[at : at + PIECE]))
+            if d.eof:
+                break
+    except zlib.error:
+        return
+    if d.eof:
+        raw = sink.done()
+        if len(raw):
+            yield Layer(raw, layer.lo, layer.hi)
 
 
 def _character(m: re.Match) -> bytes:
@@ -262,7 +296,7 @@ def _from_base64(layer: Layer, a: int, z: int) -> Iterator[Layer]:
             k = np.arange(size)
             return begin[letter[k * 8 // 6]], end[letter[np.minimum((k * 8 + 7) // 6, len(letter) - 1)]]
 
-        yield Layer(out, *layer.span(next((s for s, t in lines if s < t), a), z), None if layer.places() is None else places)
+        yield Layer(out, *layer.span(next((s for s, t in lines if s < t), a), z), None if layer.places() is None else places, True)
 
 
 def _letters(body: bytes) -> bytes:
@@ -294,7 +328,7 @@ def all_spans(text: str) -> tuple[list, list]:
         inner = _unwrapped(layer, seen)
         if layer is not first:
             found.update((kind, *layer.span(s, t)) for kind, s, t in plain_spans(layer.raw, _IN_BYTES))
-            inner = chain(inner, _streams(layer))
+            inner = chain(inner, _streams(layer), _narrow(layer), _bare(layer) if layer.message else ())
         for new in inner:
             if new is not None and len(new.raw) and (key := ("layer", *new.key(0, len(new.raw)))) not in seen:
                 seen.add(key)

@@ -110,6 +110,44 @@ def test_secrets_base64_alignment_alphabets_and_lines():
                 assert r is packed or span[1] >= 4 + 48 and span[2] <= 4 + 80 + 2 * len(end)
 
 
+def _layers():
+    """Encoders of text to text."""
+    import base64
+    import gzip
+    from urllib.parse import quote
+
+    def bare(t):
+        d = zlib.compressobj(9, zlib.DEFLATED, -15)
+        return base64.b64encode(d.compress(t.encode()) + d.flush()).decode()
+
+    return {
+        "base64": lambda t: base64.b64encode(t.encode()).decode(), "url-safe": lambda t: base64.urlsafe_b64encode(t.encode()).decode().rstrip("="), "percent": lambda t: quote(t, safe=""), "all percent": lambda t: "".join(f"%{c:02x}" for c in t.encode()),
+        "wide percent": lambda t: "".join(f"%u{ord(c):04X}" for c in t), "escapes": lambda t: "".join(f"\\u{ord(c):04x}" for c in t), "bytes": lambda t: "".join(f"\\x{c:02x}" for c in t.encode()), "entities": lambda t: "".join(f"&#{ord(c)};" for c in t), "hex entities": lambda t: "".join(f"&#x{ord(c):x};" for c in t),
+        "gzip": lambda t: base64.b64encode(gzip.compress(t.encode())).decode(), "zlib": lambda t: base64.b64encode(zlib.compress(t.encode())).decode(), "bare deflate": bare, "percent gzip": lambda t: "".join(f"%{c:02X}" for c in gzip.compress(t.encode())),
+        "utf-16": lambda t: base64.b64encode(t.encode("utf-16-le")).decode(), "utf-16 be": lambda t: base64.b64encode(t.encode("utf-16-be")).decode(), "wrapped": lambda t: "\n".join(re.findall(".{1,64}", base64.b64encode(t.encode()).decode())), "after data_": lambda t: "data_" + base64.b64encode(t.encode()).decode(),
+    }
+
+
+def test_secrets_under_every_pair_of_layers():
+    """A secret under any one encoding, any two, and chains of up to five: its spans lie in the run, and covering leaves no trace of it."""
+    import random
+
+    layers, rnd = _layers(), random.Random(9)
+    names = sorted(layers)
+    chains = [(a,) for a in names] + [(a, b) for a in names for b in names] + [tuple(rnd.choices(names, k=rnd.randint(3, 5))) for _ in range(60)]
+    for chain in chains:
+        run = "some words, password=abcdefgh1234 and more"
+        for name in chain:
+            run = layers[name](run)
+            if len(run) > 200_000:
+                break
+        text = f"é before\n\n{run}\n\nafter"
+        lo = len("é before\n\n")
+        spans = [x for x in secrets.all_spans(text)[1] if x[0] == "assign"]
+        assert spans and all(lo <= a < z <= lo + len(run) for _, a, z in spans), chain
+        assert not [x for x in secrets.all_spans(secrets.cover(text))[1] if x[0] == "assign"], chain
+
+
 def test_urls(spark, sf):
     rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
     rows = queries.op3_url_filter(spark, sf).collect()
