@@ -34,10 +34,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def prefer(spark: SparkSession, key: str, value: str) -> None:
+    """A setting that the operators want, where the session has none of its own."""
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, value)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends there, lost executors cost nothing, and the shuffles behind it go."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    prefer(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -70,7 +76,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
 
 def map_texts(df: DataFrame, function, schema) -> DataFrame:
     """mapInArrow with batches that Spark bounds by bytes, not only by rows: rows can be long texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES * 2))
+    prefer(df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES * 2))
     return df.mapInArrow(function, schema)
 
 

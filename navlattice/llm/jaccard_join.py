@@ -15,8 +15,8 @@ triangle inequality, to each cell whose pivot is at most two radii farther
 (its boundary windows).  Members within the radius of a pivot are linked to it
 and labelled: members of one label are connected and are not compared again,
 so a region or cell of one label is done.  Cells that no longer shrink are
-dealt out by pairs of chunks, of different labels or of none, which is exact
-whatever the distances are.  Inside a task the same
+dealt out by pairs of chunks, of different labels or of none and of sizes that
+the radius allows, which is exact whatever the distances are.  Inside a task the same
 recursion runs on arrays; a leaf orders its members by the distance to a pivot
 and compares only those within one radius of each other on it that are not
 yet connected.  Only a spanning forest of the links is passed on.
@@ -40,6 +40,7 @@ component or class its id; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -567,7 +568,7 @@ def _degrees(members: DataFrame, percent: int) -> DataFrame:
     out = []
     for level in range(8):
         heavy = written(members.groupBy("region").agg(F.sum(mine).alias("weight"), F.count("*").alias("n")).where(F.col("weight") > WEIGHT), "heavy")
-        light = members.join(heavy, "region", "left_anti").withColumn("side", F.lit(-1))
+        light = members.join(heavy, "region", "left_anti").withColumn("side", F.lit(-1).cast("long"))
         out.append(light.groupBy("region").applyInArrow(_count_region(percent), _DEGREE))
         if not heavy.head(1):
             break
@@ -589,13 +590,25 @@ def _degrees(members: DataFrame, percent: int) -> DataFrame:
     return _union(out).groupBy("node").agg(F.sum("links").alias("links"))
 
 
+def _band(percent: int):
+    """The band of a set's size: sets within the radius are in one band or in neighbouring ones."""
+    size = F.octet_length("grams") / 8.0
+    # a little wider than the ratio, so that no rounding parts a pair
+    return (size if percent >= 100 else F.floor(F.log(size) / (math.log(100 / percent) * (1 + 1e-9)))).cast("long").alias("band")
+
+
 def _count_chunks(rest: DataFrame, percent: int) -> DataFrame:
-    """Counts in heavy regions by single chunks and all pairs of chunks, each small enough for a task."""
-    parts = rest.groupBy("region").agg(F.ceil(F.sum(F.octet_length("grams") / 8 + EACH) * 2 / WEIGHT).cast("int").alias("parts"))
-    dealt = rest.join(parts, "region").withColumn("side", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    """Counts in heavy regions by single chunks and pairs of chunks of one band of sizes or of neighbouring ones, each small enough for a task."""
+    rest = rest.select("region", "node", "grams", "home", _band(percent))
+    parts = rest.groupBy("region", "band").agg(F.ceil(F.sum(F.octet_length("grams") / 8 + EACH) * 2 / WEIGHT).cast("long").alias("n"))
+    lists = parts.groupBy("region").agg(F.collect_list(F.struct("band", "n")).alias("parts"))
+    near = F.filter("parts", lambda p: F.abs(p["band"] - F.col("band")) <= 1)
+    own = F.filter("parts", lambda p: p["band"] == F.col("band"))[0]["n"]
+    name = lambda band, i: F.shiftleft(band, 40).bitwiseOR(i)
+    dealt = rest.join(lists, "region").withColumn("side", name(F.col("band"), F.pmod(F.xxhash64("node"), own)))
+    dealt = dealt.withColumn("with", F.explode(F.flatten(F.transform(near, lambda p: F.transform(F.sequence(F.lit(0).cast("long"), p["n"] - 1), lambda i: name(p["band"], i))))))
     region = F.xxhash64("region", F.least("side", "with"), F.greatest("side", "with"))
-    side = F.when(F.col("side") == F.col("with"), -1).otherwise(F.col("side"))
+    side = F.when(F.col("side") == F.col("with"), F.lit(-1).cast("long")).otherwise(F.col("side"))
     return dealt.select(region.alias("region"), "node", "grams", "home", side.alias("side")).groupBy("region").applyInArrow(_count_region(percent), _DEGREE)
 
 
@@ -645,14 +658,15 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _chunks(rest: DataFrame, percent: int) -> DataFrame:
-    """Joins heavy regions exactly by all pairs of chunks, each pair small enough for a task; a chunk has members of one label, and chunks of one label do not meet."""
-    parts = rest.groupBy("region", "label").agg(F.ceil(F.sum(F.octet_length("grams") / 8 + EACH) * 2 / WEIGHT).cast("int").alias("n"))
-    lists = parts.groupBy("region").agg(F.collect_list(F.struct("label", "n")).alias("parts"))
-    every = F.flatten(F.transform("parts", lambda p: F.transform(F.sequence(F.lit(1), p["n"]), lambda i: F.struct(p["label"].alias("label"), i.alias("i")))))
-    own = F.filter("parts", lambda p: p["label"].eqNullSafe(F.col("label")))[0]["n"]
-    dealt = rest.join(lists, "region").withColumn("mine", F.xxhash64("label", F.pmod(F.xxhash64("node"), own).cast("int") + 1))
-    others = F.filter(every, lambda c: F.col("label").isNull() | ~c["label"].eqNullSafe(F.col("label")))
-    dealt = dealt.withColumn("with", F.explode(F.transform(others, lambda c: F.xxhash64(c["label"], c["i"]))))
+    """Joins heavy regions exactly by pairs of chunks, each pair small enough for a task; a chunk has members of one label and one band of sizes, chunks of one label do not meet, nor do chunks whose bands are not neighbours."""
+    rest = rest.select("region", "node", "grams", "label", _band(percent))
+    parts = rest.groupBy("region", "label", "band").agg(F.ceil(F.sum(F.octet_length("grams") / 8 + EACH) * 2 / WEIGHT).cast("int").alias("n"))
+    lists = parts.groupBy("region").agg(F.collect_list(F.struct("label", "band", "n")).alias("parts"))
+    every = F.flatten(F.transform("parts", lambda p: F.transform(F.sequence(F.lit(1), p["n"]), lambda i: F.struct(p["label"].alias("label"), p["band"].alias("band"), i.alias("i")))))
+    own = F.filter("parts", lambda p: p["label"].eqNullSafe(F.col("label")) & (p["band"] == F.col("band")))[0]["n"]
+    dealt = rest.join(lists, "region").withColumn("mine", F.xxhash64("label", "band", F.pmod(F.xxhash64("node"), own).cast("int") + 1))
+    others = F.filter(every, lambda c: (F.col("label").isNull() | ~c["label"].eqNullSafe(F.col("label"))) & (F.abs(c["band"] - F.col("band")) <= 1))
+    dealt = dealt.withColumn("with", F.explode(F.transform(others, lambda c: F.xxhash64(c["label"], c["band"], c["i"]))))
     region = F.xxhash64("region", F.least("mine", "with"), F.greatest("mine", "with"))
     return dealt.select(region.alias("region"), "node", "grams", "label").groupBy("region").applyInArrow(_join_region(percent), _LINK)
 
