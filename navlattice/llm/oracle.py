@@ -96,7 +96,7 @@ SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (WHERE c>0) AS n_
 def _language(top: int = 300) -> str:
     grams = "unnest(list_concat(list_transform(range(2, length(x)), lambda i: x[i]), list_transform(range(1, length(x)), lambda i: x[i:i+1]), list_transform(range(1, length(x)-1), lambda i: x[i:i+2])))"
     order = "length(g), unicode(g), unicode(g[2:]), unicode(g[3:])"
-    return f"""WITH d AS (SELECT doc_id, lang, {_held_out(5)} AS held_out, regexp_extract_all(lower(coalesce(text, '')), '\p{{L}}+') AS words FROM documents),
+    return f"""WITH d AS (SELECT doc_id, lang, {_held_out(5)} AS held_out, regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+') AS words FROM documents),
 g AS (SELECT doc_id, lang, held_out, {grams} AS g FROM (SELECT doc_id, lang, held_out, ' ' || unnest(words) || ' ' AS x FROM d)),
 lg AS (SELECT lang, g, count(*) AS n FROM g WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang, g),
 profile AS (SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY n DESC, {order})-1 AS rank FROM lg QUALIFY rank<{top}),
