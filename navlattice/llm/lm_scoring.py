@@ -44,7 +44,7 @@ END, START = U64(0x1D8E4E27C47D124F), U64(0xEB44ACCAB455D165)
 #: Tokens of a task that are sorted together.
 FLUSH = 3_000_000
 #: Bytes of text for one shard, and the count from which a word's pairs are dealt out: a quarter of such a shard's words.
-SHARD_BYTES, SPLIT = 64 << 20, 2_500_000
+SHARD_BYTES, SPLIT = 16 << 20, 600_000
 #: The count that stands for one in the list of large ones.
 MORE = 0xFFFFFFFF
 _TOP = U64(0xFFFFFF0000000000)
@@ -173,11 +173,13 @@ def _sum_pairs(n: int, folder: str):
             ws.append(np.frombuffer(b, U64))
             cs.append(np.frombuffer(c, np.uint32).astype(np.int64))
         u, w, c = np.concatenate(us), np.concatenate(ws), np.concatenate(cs)
+        us.clear(), ws.clear(), cs.clear()
         pair = _pair(u, w)
         order = np.argsort(pair)
-        pair, u, w, c = pair[order], u[order], w[order], c[order]
+        pair = pair[order]
         first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
-        pair, u, w, c = pair[first], u[first], w[first], np.add.reduceat(c, first)
+        pair, u, w, c = pair[first], u[order[first]], w[order[first]], np.add.reduceat(c[order], first)
+        del order, first
         s = key[0].as_py()
         large = np.flatnonzero(c >= MORE)
         put(f"{folder}/pair-{s}", [np.array([len(pair), len(large)], np.int64), pair, large, c[large], np.minimum(c, MORE).astype(np.uint32)])
