@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from . import textvec as tv
-from .common import blob, done, find, map_texts, mapped, put, shards, shared_dir, slices, totals, written
+from .common import blob, closing, done, find, map_texts, mapped, put, shards, shared_dir, slices, totals, written
 from .graph import components
 
 U64 = np.uint64
@@ -170,6 +170,9 @@ class Shards:
     def __getstate__(self):
         return {**self.__dict__, "files": {}}
 
+    def close(self) -> None:
+        self.files.clear()
+
     def open(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
         if shard not in self.files:
             raw = mapped(f"{self.folder}/{shard}")
@@ -681,13 +684,14 @@ def _join(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     parts = max(shards(spark), total // KEYS + 1)
     folder = shared_dir(spark, "gram-counts")
     map_texts(docs, _count_grams(n, parts), _COUNTS).groupBy("shard").applyInArrow(_write_counts(folder), "shard int").write.parquet(shared_dir(spark, "gram-counts-done"))
-    near = map_texts(docs, _signed(n, percent, parts, Shards(folder, parts, 9)), _BLOCK).groupBy("shard").applyInArrow(_shared_keys, _LINK)
+    near = map_texts(docs, closing(_signed(n, percent, parts, counts := Shards(folder, parts, 9)), counts), _BLOCK).groupBy("shard").applyInArrow(_shared_keys, _LINK)
     region = components(near)
     texts = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = region.join(texts, "node").select("doc_id", "node", F.col("component").alias("region"), F.pmod("node", F.lit(parts)).cast("int").alias("shard"))
     folder = shared_dir(spark, "wanted")
     wanted.groupBy("shard").applyInArrow(_write_wanted(folder), "shard int").write.parquet(shared_dir(spark, "wanted-done"))
-    members = written(map_texts(docs, _with_sets(n, Shards(folder, parts, 32), set(map(int, done(folder)))), _MEMBER), "members")
+    wanted = Shards(folder, parts, 32)
+    members = written(map_texts(docs, closing(_with_sets(n, wanted, set(map(int, done(folder)))), wanted), _MEMBER), "members")
     links = written(_links(members, percent), "links")
     return rows, members, links
 
@@ -762,12 +766,12 @@ def one_of_each(documents: DataFrame, n: int, percent: int) -> DataFrame:
     worded = documents.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     wordless = documents.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
     known = F.col("doc_id").isNotNull()
-    out = map_texts(worded, _kept_rows(n, kept, present), documents.schema)
+    out = map_texts(worded, closing(_kept_rows(n, kept, present), kept), documents.schema)
     if groups.where(F.col("state") == REPEATED).head(1):
         name = "_set"
         while name in own:
             name += "_"
-        again = map_texts(worded, _kept_rows(n, kept, present, name), StructType([*documents.schema.fields, StructField(name, LongType())]))
+        again = map_texts(worded, closing(_kept_rows(n, kept, present, name), kept), StructType([*documents.schema.fields, StructField(name, LongType())]))
         out = out.unionByName(again.dropDuplicates([name]).select(own))
     return out.unionByName(wordless.where(known).dropDuplicates(["doc_id", "text"])).unionByName(wordless.where(~known))
 

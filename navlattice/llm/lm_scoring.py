@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textvec as tv
-from .common import blob, done, find, held_out, map_texts, mapped, put, shards, shared_dir, slices, totals, written
+from .common import blob, closing, done, find, held_out, map_texts, mapped, put, shards, shared_dir, slices, totals, written
 
 U64 = np.uint64
 END, START = U64(0x1D8E4E27C47D124F), U64(0xEB44ACCAB455D165)
@@ -262,6 +262,9 @@ class Model:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "_files"}
 
+    def close(self) -> None:
+        self.__dict__.pop("_files", None)
+
     def words(self, h: np.ndarray) -> np.ndarray:
         """The six numbers of each word of a sorted array of hashes; zeros for unknown ones."""
         out = np.zeros((_FIELDS - 1, len(h)), np.int64)
@@ -350,7 +353,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                 names=[x.split()[0] for x in SCORED.split(", ")],
             )
 
-    return documents.select(F.col("doc_id").cast("long"), "held_out", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, SCORED)
+    return documents.select(F.col("doc_id").cast("long"), "held_out", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(closing(run, model), SCORED)
 
 
 def lm_scores(documents: DataFrame, folds: int = 10) -> DataFrame:
