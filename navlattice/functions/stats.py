@@ -26,8 +26,13 @@ def binomial_tail(k: Column, n: Column, p: float = BACKGROUND_RATE) -> Column:
 
 
 def level(n: Column, k: Column) -> Column:
+    return level_of(n, k, binomial_tail(k, n))
+
+
+def level_of(n: Column, k: Column, tail: Column) -> Column:
+    """The level of k affected ones among n, where chance makes k or more with the probability `tail`."""
     ratio = k / F.nullif(n, F.lit(0))
-    quiet = (ratio <= LOW_MAX_RATIO) | (binomial_tail(k, n) >= SIGNIFICANCE)
+    quiet = (ratio <= LOW_MAX_RATIO) | (tail >= SIGNIFICANCE)
     return F.when(n < MIN_AIRCRAFT, "noData").when(quiet, "low").when(ratio >= HIGH_MIN_RATIO, "high").otherwise("medium")
 
 

@@ -16,13 +16,13 @@ REPEAT_DAYS, CANDIDATES = 5, (1, 2, 3, 4, 5, 8)
 
 
 def chance_of_hot(n: Column, p: float = BACKGROUND_RATE) -> Column:
-    """The probability that n aircraft, each affected at the background rate, make a medium or high level."""
+    """The probability that n aircraft, each affected at the background rate, make a medium or high level; one pass over the numbers of affected ones, whose probabilities below are the tail that the level asks for."""
     odds = math.log(p) - math.log1p(-p)
-    first = F.struct((n * math.log1p(-p)).alias("log"), F.lit(0.0).alias("sum"))
+    first = F.struct((n * math.log1p(-p)).alias("log"), F.lit(0.0).alias("below"), F.lit(0.0).alias("sum"))
 
     def step(acc: Column, k: Column) -> Column:
-        hot = stats.level(n, k).isin("medium", "high")
-        return F.struct((acc["log"] + F.log((n - k).cast("double") / (k + 1)) + odds).alias("log"), (acc["sum"] + F.when(hot, F.exp(acc["log"])).otherwise(0.0)).alias("sum"))
+        hot, one = stats.level_of(n, k, F.greatest(F.lit(0.0), 1.0 - acc["below"])).isin("medium", "high"), F.exp(acc["log"])
+        return F.struct((acc["log"] + F.log((n - k).cast("double") / (k + 1)) + odds).alias("log"), (acc["below"] + one).alias("below"), (acc["sum"] + F.when(hot, one).otherwise(0.0)).alias("sum"))
 
     below = F.aggregate(F.sequence(F.lit(0).cast("long"), n - 1), first, step)
     return below["sum"] + F.when(stats.level(n, n).isin("medium", "high"), F.pow(F.lit(p), n)).otherwise(0.0)

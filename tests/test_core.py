@@ -179,3 +179,28 @@ def test_components_of_many_batches(spark):
     stars = spark.range(15_000).selectExpr("1000000 + id div 100 * 1000 as a", "1000001 + id div 100 * 1000 + id % 100 as b")
     got = graph.components(chain.unionByName(stars)).groupBy("component").count()
     assert sorted((r.component, r["count"]) for r in got.collect()) == [(0, 30_001)] + [(1_000_000 + 1000 * i, 101) for i in range(150)]
+
+
+def test_chance_of_hot_in_one_pass(spark):
+    """The chance of a hot level against plain sums, and for so many aircraft that a tail for each number of affected ones would not end."""
+    import math
+    import time
+
+    from pyspark.sql import functions as F
+
+    from navlattice.operators import calibrate
+    from navlattice.schema import BACKGROUND_RATE, HIGH_MIN_RATIO, LOW_MAX_RATIO, SIGNIFICANCE
+
+    def plain(n):
+        pmf = [math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(BACKGROUND_RATE) + (n - k) * math.log1p(-BACKGROUND_RATE)) for k in range(n + 1)]
+        below = [0.0]
+        for x in pmf:
+            below.append(below[-1] + x)
+        return sum(pmf[k] for k in range(n + 1) if k / n > LOW_MAX_RATIO and max(0.0, 1 - below[k]) < SIGNIFICANCE)
+
+    assert LOW_MAX_RATIO < HIGH_MIN_RATIO
+    sizes = [5, 6, 7, 19, 20, 21, 64, 100, 333, 1000, 50_000]
+    start = time.time()
+    got = dict(spark.createDataFrame([(n,) for n in sizes], "n long").select("n", calibrate.chance_of_hot(F.col("n"))).collect())
+    assert time.time() - start < 30
+    assert all(math.isclose(got[n], plain(n), rel_tol=1e-6, abs_tol=1e-12) for n in sizes), [(n, got[n], plain(n)) for n in sizes]
