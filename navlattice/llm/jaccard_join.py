@@ -14,9 +14,11 @@ every member goes to the Voronoi cell of its nearest pivot and, by the
 triangle inequality, to each cell whose pivot is at most two radii farther
 (its boundary windows).  Members within the radius of a pivot are linked to it
 and labelled: members of one label are connected and are not compared again,
-so a region or cell of one label is done.  Cells that no longer shrink are
-dealt out by pairs of chunks, of different labels or of none and of sizes that
-the radius allows, which is exact whatever the distances are.  Inside a task the same
+so a region or cell of one label is done.  A region is copied into cells only
+where these shrink and all copies together stay below COPIES; others are cut
+into chunks, which are written once, and tasks map the pairs of chunks, of
+different labels or of none and of sizes that the radius allows.  That is exact
+whatever the distances are, and only names of chunks are multiplied.  Inside a task the same
 recursion runs on arrays; a leaf orders its members by the distance to a pivot
 and compares only those within one radius of each other on it that are not
 yet connected.  Only a spanning forest of the links is passed on.
@@ -25,8 +27,8 @@ The numbers of links are counted apart from that, where they are wanted, as a
 spanning forest leaves most links out.  Every member has one home, the cell of
 its nearest pivot, at each level: all that it links with is in that cell too,
 so its links are counted there and nowhere else.  Regions whose cells would
-not shrink are dealt out by pairs of chunks, which count what lies across
-them, and single chunks, which count what lies inside.
+not shrink are cut into chunks as well: pairs of them count what lies across,
+single ones what lies inside.
 
 Equal sets are one node (a 64-bit digest of the set): the class of copies.
 Memory is bounded by WEIGHT; no candidate is capped or left out.
@@ -63,6 +65,8 @@ FLUSH = 2_000_000
 PIVOTS = 12
 #: Members that a leaf compares without further pivots.
 LEAF = 192
+#: How many times members may be copied into cells: of a region, and of all heavy regions in all.
+COPIES = 3
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -313,6 +317,7 @@ _LABELLED = _MEMBER + ", cells array<long>, a array<long>"
 _LINK = "a long, b long"
 _CELLED = "region long, node long, grams binary, home boolean, cells array<struct<cell: long, home: boolean>>"
 _DEGREE = "node long, links long"
+_CHUNK = "region long, label long, band long, chunk long"
 
 
 def _write_wanted(folder: str):
@@ -363,6 +368,7 @@ class Region:
         self.at, self.code, self.percent = np.concatenate([[0], np.cumsum(self.size)]), code, percent
         self.mark = np.zeros(len(universe), dtype=bool)
         self.parent = np.arange(len(sets))
+        self.side: np.ndarray | None = None
         self.links: list[tuple[int, int]] = []
         self.radius = 1 - percent / 100
 
@@ -372,6 +378,11 @@ class Region:
             x = self.parent[x]
         return x
 
+    def tops(self) -> np.ndarray:
+        while not np.array_equal(up := self.parent[self.parent], self.parent):
+            self.parent = up
+        return self.parent
+
     def connected(self, labels: np.ndarray) -> None:
         """Members of one label (-1: none) are connected already."""
         known = np.flatnonzero(labels >= 0)
@@ -447,10 +458,10 @@ class Region:
         for i in range(1, len(members) - 1):
             window = members[i + 1 : np.searchsorted(d, d[i] + self.radius + 1e-9, "right")]
             x = int(members[i])
-            mine = self.top(x)
-            size = self.size[x]
-            window = window[(100 * self.size[window] >= self.percent * size) & (100 * size >= self.percent * self.size[window])]
-            window = np.array([y for y in window if self.top(int(y)) != mine], dtype=np.int64)
+            size, top = self.size[x], self.tops()
+            window = window[(100 * self.size[window] >= self.percent * size) & (100 * size >= self.percent * self.size[window]) & (top[window] != top[x])]
+            if self.side is not None:  # what lies inside a side is compared elsewhere
+                window = window[self.side[window] != self.side[x]]
             if len(window):
                 self.distance(x, window)
 
@@ -488,32 +499,98 @@ def _count_region(percent: int):
     return run
 
 
+def _put_sets(uri: str, table: pa.Table) -> None:
+    """Writes members: their number, lengths, nodes, labels (with 1 where there is one) and sets."""
+    sets = [np.frombuffer(x, U64) for x in table.column("grams").to_pylist()]
+    label = table.column("label")
+    put(uri, [np.array([len(sets), *map(len, sets)], np.int64), table.column("node").to_numpy(), label.fill_null(0).to_numpy(), label.is_valid().to_numpy().astype(np.int64), *sets])
+
+
 def _write_pivots(folder: str):
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        """Writes one region's pivots: their number, lengths, nodes, labels (with 1 where there is one) and sets."""
-        sets = [np.frombuffer(x, U64) for x in table.column("grams").to_pylist()]
-        label = table.column("label")
-        put(f"{folder}/{key[0].as_py()}", [np.array([len(sets), *map(len, sets)], np.int64), table.column("node").to_numpy(), label.fill_null(0).to_numpy(), label.is_valid().to_numpy().astype(np.int64), *sets])
+        """Writes one region's pivots."""
+        _put_sets(f"{folder}/{key[0].as_py()}", table)
         return pa.table({"region": pa.array([key[0].as_py()])})
 
     return run
 
 
+def _write_chunks(folder: str):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """Writes one chunk's members, repeated rows as one."""
+        _, one = np.unique(table.column("node").to_numpy(), return_index=True)
+        _put_sets(f"{folder}/{key[3].as_py()}", table.take(pa.array(one)))
+        return pa.table({name: pa.array([k.as_py()], pa.int64()) for name, k in zip(("region", "label", "band", "chunk"), key, strict=True)})
+
+    return run
+
+
+def _pair(folder: str, percent: int, x: int, y: int) -> tuple[Region, np.ndarray, np.ndarray, np.ndarray]:
+    """The members of one chunk or of two, as a region with sides: their nodes, labels, and whether there is one."""
+    node, label, known, sets = _read_sets(f"{folder}/{x}")
+    side = np.full(len(node), -1)
+    if x != y:
+        other = _read_sets(f"{folder}/{y}")
+        side = np.repeat([0, 1], [len(node), len(other[0])])
+        node, label, known = (np.concatenate(p) for p in zip((node, label, known), other[:3], strict=True))
+        sets = sets + other[3]
+    region = Region(sets, percent)
+    region.side = side
+    return region, node, label, known
+
+
+def _join_pairs(folder: str, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A spanning forest of the links inside a chunk or across two."""
+        for batch in batches:
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                region, node, label, known = _pair(folder, percent, x, y)
+                if x == y:
+                    region.side = None
+                region.connected(np.where(known, np.unique(label, return_inverse=True)[1], -1))
+                region.solve(np.arange(len(node)))
+                pairs = np.array(region.links, dtype=np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], names=["a", "b"])
+
+    return run
+
+
+def _count_pairs(folder: str, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The numbers of links, inside a chunk or across two, of the members whose label is 1."""
+        for batch in batches:
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                region, node, home, _ = _pair(folder, percent, x, y)
+                degree = np.zeros(len(node), dtype=np.int64)
+                region.count(np.arange(len(node)), home == 1, region.side, degree)
+                some = np.flatnonzero(degree)
+                yield pa.RecordBatch.from_arrays([pa.array(node[some]), pa.array(degree[some])], names=["node", "links"])
+
+    return run
+
+
+def _read_sets(uri: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """What _write_pivots or _write_chunks wrote: nodes, labels, whether there is one, and sets."""
+    raw = mapped(uri).view(U64)
+    n = int(raw[0])
+    size, node, label, known = raw[1:].view(np.int64)[: 4 * n].reshape(4, n)
+    at = 1 + 4 * n + np.concatenate([[0], np.cumsum(size)])
+    return node, label, known == 1, [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 class Pivots:
     """A region's pivots; those that link with each other, or had one label, share a label."""
 
-    def __init__(self, raw: np.ndarray, percent: int):
-        n = int(raw[0])
-        self.size, self.node, label, known = raw[1:].view(np.int64)[: 4 * n].reshape(4, n)
-        at = 1 + 4 * n + np.concatenate([[0], np.cumsum(self.size)])
-        self.percent, self.sets = percent, [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-        top = np.arange(n)
-        for i in range(n):
-            for j in np.flatnonzero(self.within(self.sets[i])[0] | ((known[i] == 1) & (known == 1) & (label == label[i]))):
+    def __init__(self, uri: str, percent: int):
+        self.node, label, known, self.sets = _read_sets(uri)
+        self.percent, self.size = percent, np.array([len(x) for x in self.sets])
+        top = np.arange(len(self.node))
+        for i in range(len(top)):
+            for j in np.flatnonzero(self.within(self.sets[i])[0] | (known[i] & known & (label == label[i]))):
                 top[top == top[j]] = top[i]
         # a label that a pivot brings stands for its group, or else a pivot's node
         self.top = top
-        self.label = np.array([next((label[j] for j in np.flatnonzero((top == t) & (known == 1))), self.node[t]) for t in top])
+        self.label = np.array([next((label[j] for j in np.flatnonzero((top == t) & known)), self.node[t]) for t in top])
 
     def within(self, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which pivots link with a set, and the distances to all."""
@@ -530,7 +607,7 @@ def _to_cells(folder: str, percent: int):
             labels, cells, links = [], [], []
             for region, node, grams, label in zip(*(batch.column(x).to_pylist() for x in ("region", "node", "grams", "label")), strict=True):
                 if region not in pivots:
-                    pivots[region] = Pivots(mapped(f"{folder}/{region}").view(U64), percent)
+                    pivots[region] = Pivots(f"{folder}/{region}", percent)
                 p = pivots[region]
                 linked, d = p.within(np.frombuffer(grams, U64))
                 linked = np.flatnonzero(linked)
@@ -553,7 +630,7 @@ def _to_homes(folder: str, percent: int):
             cells = []
             for region, grams, home in zip(*(batch.column(x).to_pylist() for x in ("region", "grams", "home")), strict=True):
                 if region not in pivots:
-                    pivots[region] = Pivots(mapped(f"{folder}/{region}").view(U64), percent)
+                    pivots[region] = Pivots(f"{folder}/{region}", percent)
                 d = pivots[region].within(np.frombuffer(grams, U64))[1]
                 near = np.flatnonzero(d <= d.min() + 2 * (1 - percent / 100) + 1e-9)
                 name = tv.mix(np.array([region], np.int64).view(U64) + near.astype(U64) + U64(1)).view(np.int64)
@@ -568,7 +645,7 @@ def _degrees(members: DataFrame, percent: int) -> DataFrame:
     spark = members.sparkSession
     mine = F.octet_length("grams") / 8 + EACH
     members = members.select("region", "node", "grams", F.lit(True).alias("home"))
-    out = []
+    out, limit = [], None
     for level in range(8):
         heavy = written(members.groupBy("region").agg(F.sum(mine).alias("weight"), F.count("*").alias("n")).where(F.col("weight") > WEIGHT), "heavy")
         light = members.join(heavy, "region", "left_anti").withColumn("side", F.lit(-1).cast("long"))
@@ -583,11 +660,18 @@ def _degrees(members: DataFrame, percent: int) -> DataFrame:
         if level == 7 or have.isEmpty():
             out.append(_count_chunks(rest, percent))
             break
-        out.append(_count_chunks(rest.join(have, "region", "left_anti"), percent))
+        without = rest.join(have, "region", "left_anti")
+        if without.head(1):
+            out.append(_count_chunks(without, percent))
         celled = written(map_texts(rest.join(have, "region", "left_semi").drop("weight", "n"), _to_homes(folder, percent), _CELLED), "celled")
-        sizes = celled.select("region", F.explode("cells.cell").alias("cell")).groupBy("region", "cell").count().groupBy("region").agg(F.max("count").alias("most"))
-        stuck = written(sizes.join(heavy, "region").where(F.col("most") > 0.7 * F.col("n")).select("region"), "stuck")
-        out.append(_count_chunks(celled.join(stuck, "region").drop("cells"), percent))
+        cell = celled.select("region", F.explode("cells.cell").alias("cell"))
+        limit = limit or COPIES * heavy.agg(F.sum("weight")).first()[0]
+        spread = celled.groupBy("region").agg(F.sum(mine * F.size("cells")).alias("spread"))
+        state = written(_shrinking(heavy.select("region", "n").join(spread, "region"), cell), "shrinking")
+        stuck = state.where("stuck") if _within(state, limit) else state
+        stuck = stuck.select("region")
+        if stuck.head(1):
+            out.append(_count_chunks(celled.join(stuck, "region"), percent))
         inside = celled.join(stuck, "region", "left_anti").select("node", "grams", F.explode("cells").alias("c"))
         members = written(inside.select(F.col("c.cell").alias("region"), "node", "grams", F.col("c.home").alias("home")), "members")
     return _union(out).groupBy("node").agg(F.sum("links").alias("links"))
@@ -600,55 +684,92 @@ def _band(percent: int):
     return (size if percent >= 100 else F.floor(F.log(size) / (math.log(100 / percent) * (1 + 1e-9)))).cast("long").alias("band")
 
 
+def _dealt(rest: DataFrame, percent: int, labels: bool, join, schema: str) -> DataFrame:
+    """Heavy regions by chunks, each written once: `join` maps single chunks and pairs of them, small enough for a task.
+
+    A chunk has members of one band of sizes and, with labels, of one label; chunks whose bands are not neighbours do not meet, nor do chunks of one label.
+    """
+    spark, key = rest.sparkSession, ["region", "label", "band"]
+    rest = rest.select("region", "node", "grams", "label", _band(percent))
+    kind = F.col("label") if labels else F.lit(None).cast("long")
+    parts = rest.groupBy("region", kind.alias("label"), "band").agg(F.ceil(F.sum(F.octet_length("grams") / 8 + EACH) * 2 / WEIGHT).cast("long").alias("n"))
+    lists = written(parts, "parts").groupBy("region").agg(F.collect_list(F.struct("label", "band", "n")).alias("parts"))
+    own = F.filter("parts", lambda p: p["label"].eqNullSafe(kind) & (p["band"] == F.col("band")))[0]["n"]
+    dealt = rest.join(lists, "region").withColumns({"kind": kind, "chunk": F.xxhash64("region", kind, "band", F.pmod(F.xxhash64("node"), own))}).drop("parts")
+    folder = shared_dir(spark, "chunks")
+    chunks = written(dealt.groupBy("region", "kind", "band", "chunk").applyInArrow(_write_chunks(folder), _CHUNK), "chunks-done")
+    other = chunks.select("region", *(F.col(c).alias(f"{c}_y") for c in ("label", "band", "chunk")))
+    meet = (F.col("chunk") <= F.col("chunk_y")) & (F.abs(F.col("band") - F.col("band_y")) <= 1) & (F.col("label").isNull() | ~F.col("label").eqNullSafe(F.col("label_y")))
+    pairs = written(chunks.join(other, "region").where(meet).select(F.col("chunk").alias("x"), F.col("chunk_y").alias("y")), "chunk-pairs")
+    return pairs.repartition(max(shards(spark), pairs.count() // 16 + 1), "x", "y").mapInArrow(join(folder, percent), schema)
+
+
 def _count_chunks(rest: DataFrame, percent: int) -> DataFrame:
-    """Counts in heavy regions by single chunks and pairs of chunks of one band of sizes or of neighbouring ones, each small enough for a task."""
-    rest = rest.select("region", "node", "grams", "home", _band(percent))
-    parts = rest.groupBy("region", "band").agg(F.ceil(F.sum(F.octet_length("grams") / 8 + EACH) * 2 / WEIGHT).cast("long").alias("n"))
-    lists = parts.groupBy("region").agg(F.collect_list(F.struct("band", "n")).alias("parts"))
-    near = F.filter("parts", lambda p: F.abs(p["band"] - F.col("band")) <= 1)
-    own = F.filter("parts", lambda p: p["band"] == F.col("band"))[0]["n"]
-    name = lambda band, i: F.shiftleft(band, 40).bitwiseOR(i)
-    dealt = rest.join(lists, "region").withColumn("side", name(F.col("band"), F.pmod(F.xxhash64("node"), own)))
-    dealt = dealt.withColumn("with", F.explode(F.flatten(F.transform(near, lambda p: F.transform(F.sequence(F.lit(0).cast("long"), p["n"] - 1), lambda i: name(p["band"], i))))))
-    region = F.xxhash64("region", F.least("side", "with"), F.greatest("side", "with"))
-    side = F.when(F.col("side") == F.col("with"), F.lit(-1).cast("long")).otherwise(F.col("side"))
-    return dealt.select(region.alias("region"), "node", "grams", "home", side.alias("side")).groupBy("region").applyInArrow(_count_region(percent), _DEGREE)
-
-
-def _unfinished(members: DataFrame) -> DataFrame:
-    """The members of regions that have more than one label, or members without one."""
-    seen = members.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count("label") == F.count("*")).alias("all"))
-    return members.join(seen.where(~F.col("all") | (F.col("low") < F.col("high"))).select("region"), "region")
+    """Counts in heavy regions by single chunks and pairs of chunks of one band of sizes or of neighbouring ones."""
+    return _dealt(rest.withColumn("label", F.col("home").cast("long")), percent, False, _count_pairs, _DEGREE)
+
+
+def _chunks(rest: DataFrame, percent: int) -> DataFrame:
+    """Joins heavy regions exactly by chunks of members without a label and pairs of chunks."""
+    return _dealt(rest, percent, True, _join_pairs, _LINK)
+
+
+def _shrinking(regions: DataFrame, cell: DataFrame) -> DataFrame:
+    """regions (region, n, spread) with whether they are stuck: a cell has nearly all members, or all cells together too many copies; cell: (region, cell), a row a copy."""
+    sizes = cell.groupBy("region", "cell").count().groupBy("region").agg(F.max("count").alias("most"), F.sum("count").alias("copies"))
+    return regions.join(sizes, "region").select("region", "spread", ((F.col("most") > 0.7 * F.col("n")) | (F.col("copies") > COPIES * F.col("n"))).alias("stuck"))
+
+
+def _within(state: DataFrame, limit: float) -> bool:
+    """Whether the copies of all regions that are not stuck stay below the limit."""
+    return (state.where("not stuck").agg(F.sum("spread")).first()[0] or 0) <= limit
+
+
+def _unfinished(members: DataFrame, *more) -> DataFrame:
+    """The regions that have more than one label, or members without one."""
+    seen = members.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"), (F.count("label") == F.count("*")).alias("all"), *more)
+    return seen.where(~F.col("all") | (F.col("low") < F.col("high"))).drop("low", "high", "all")
 
 
 def _links(members: DataFrame, percent: int) -> DataFrame:
     """Links of all regions; members is (region, node, grams, label), a written table."""
     spark = members.sparkSession
     mine = F.octet_length("grams") / 8 + EACH
-    out, before = [], None
+    out, limit = [], None
     for level in range(8):
-        sized = members.groupBy("region").agg(F.sum(mine).alias("weight"))
-        heavy = written(sized.where(F.col("weight") > WEIGHT), "heavy")
+        heavy = written(members.groupBy("region").agg(F.sum(mine).alias("weight")).where(F.col("weight") > WEIGHT), "heavy")
         light = members.join(heavy, "region", "left_anti")
         out.append(light.groupBy("region").applyInArrow(_join_region(percent), _LINK))
-        total = heavy.agg(F.max("weight")).first()[0]
+        total = heavy.agg(F.sum("weight")).first()[0]
         if total is None:
             return _union(out)
+        limit = limit or COPIES * total
         rest = members.join(heavy, "region")
-        if level == 7 or before is not None and total > 0.8 * before:
+        if level == 7:
             break
-        before = total
         folder = shared_dir(spark, "pivots")
         luck = (F.xxhash64(F.col("node"), F.lit(level)).cast("double") / 2.0**64) + 0.5
         have = written(rest.where(luck * F.col("weight") <= mine * PIVOTS).drop("weight").groupBy("region").applyInArrow(_write_pivots(folder), "region long"), "pivots-done")
         if have.isEmpty():
             break
-        out.append(_chunks(rest.join(have, "region", "left_anti"), percent))
+        without = rest.join(have, "region", "left_anti")
+        if without.head(1):
+            out.append(_chunks(without, percent))
         chosen = rest.join(have, "region", "left_semi").drop("weight")
         labelled = written(map_texts(chosen, _to_cells(folder, percent), _LABELLED), "labelled")
         out.append(labelled.select(F.explode("a").alias("a"), F.col("node").alias("b")).where("a <> b"))
-        cells = written(_unfinished(labelled).select(F.explode("cells").alias("region"), "node", "grams", "label"), "cells")
-        members = written(_unfinished(cells).select("region", "node", "grams", "label"), "members")
+        cell = labelled.select("region", "label", F.explode("cells").alias("cell"))
+        state = written(_shrinking(_unfinished(labelled, F.count("*").alias("n"), F.sum(mine * F.size("cells")).alias("spread")), cell), "shrinking")
+        divide = _within(state, limit)
+        stuck = state.where("stuck") if divide else state
+        if stuck.head(1):
+            out.append(_chunks(labelled.join(stuck.select("region"), "region"), percent))
+        into = state.where("not stuck").select("region")
+        if not divide or not into.head(1):
+            return _union(out)
+        still = written(_unfinished(cell.join(into, "region", "left_semi").select(F.col("cell").alias("region"), "label")), "unfinished")
+        cells = labelled.join(into, "region", "left_semi").select(F.explode("cells").alias("region"), "node", "grams", "label")
+        members = written(cells.join(still, "region", "left_semi"), "members")
     out.append(_chunks(rest, percent))
     return _union(out)
 
@@ -660,20 +781,6 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _chunks(rest: DataFrame, percent: int) -> DataFrame:
-    """Joins heavy regions exactly by pairs of chunks, each pair small enough for a task; a chunk has members of one label and one band of sizes, chunks of one label do not meet, nor do chunks whose bands are not neighbours."""
-    rest = rest.select("region", "node", "grams", "label", _band(percent))
-    parts = rest.groupBy("region", "label", "band").agg(F.ceil(F.sum(F.octet_length("grams") / 8 + EACH) * 2 / WEIGHT).cast("int").alias("n"))
-    lists = parts.groupBy("region").agg(F.collect_list(F.struct("label", "band", "n")).alias("parts"))
-    every = F.flatten(F.transform("parts", lambda p: F.transform(F.sequence(F.lit(1), p["n"]), lambda i: F.struct(p["label"].alias("label"), p["band"].alias("band"), i.alias("i")))))
-    own = F.filter("parts", lambda p: p["label"].eqNullSafe(F.col("label")) & (p["band"] == F.col("band")))[0]["n"]
-    dealt = rest.join(lists, "region").withColumn("mine", F.xxhash64("label", "band", F.pmod(F.xxhash64("node"), own).cast("int") + 1))
-    others = F.filter(every, lambda c: (F.col("label").isNull() | ~c["label"].eqNullSafe(F.col("label"))) & (F.abs(c["band"] - F.col("band")) <= 1))
-    dealt = dealt.withColumn("with", F.explode(F.transform(others, lambda c: F.xxhash64(c["label"], c["band"], c["i"]))))
-    region = F.xxhash64("region", F.least("mine", "with"), F.greatest("mine", "with"))
-    return dealt.select(region.alias("region"), "node", "grams", "label").groupBy("region").applyInArrow(_join_region(percent), _LINK)
-
-
 def _join(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows with their sets' digests, the members of regions, and a spanning forest of the links."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -685,7 +792,7 @@ def _join(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFr
     folder = shared_dir(spark, "gram-counts")
     map_texts(docs, _count_grams(n, parts), _COUNTS).groupBy("shard").applyInArrow(_write_counts(folder), "shard int").write.parquet(shared_dir(spark, "gram-counts-done"))
     near = map_texts(docs, closing(_signed(n, percent, parts, counts := Shards(folder, parts, 9)), counts), _BLOCK).groupBy("shard").applyInArrow(_shared_keys, _LINK)
-    region = components(near)
+    region = components(written(near, "near"))
     texts = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = region.join(texts, "node").select("doc_id", "node", F.col("component").alias("region"), F.pmod("node", F.lit(parts)).cast("int").alias("shard"))
     folder = shared_dir(spark, "wanted")

@@ -593,3 +593,38 @@ def test_op4_heavy_regions_stay_exact(spark, monkeypatch):
                         top = [min(a, b) if t in (a, b) else t for t in top]
         got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(frame, n, percent).collect()}
         assert [got[i] for i in range(len(sets))] == top
+
+
+def test_op4_large_group_is_not_copied(spark, monkeypatch):
+    """A large group of near copies, too unlike for one pivot and too alike for cells: its sets are not written again and again, and all that links is found."""
+    import random
+
+    monkeypatch.setattr(jaccard_join, "WEIGHT", 20_000)
+    rnd = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base, texts = rnd.choices(vocabulary, k=200), []
+    for _ in range(400):
+        words = list(base)
+        for _ in range(rnd.randrange(12)):
+            words[rnd.randrange(200)] = rnd.choice(vocabulary)
+        texts.append(" ".join(words))
+    copies, plain = [], jaccard_join.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        if "grams" in out.columns:
+            copies.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(196)) for w in map(str.split, texts)]
+    top = list(range(len(sets)))
+    for x in range(len(sets)):
+        for y in range(x):
+            if top[x] != top[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                a, b = top[x], top[y]
+                top = [min(a, b) if t in (a, b) else t for t in top]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = jaccard_join.one_of_each(frame, 5, 80)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(top))
+    assert sum(n for _, n in copies) <= 4 * len(set(sets)), copies
